@@ -137,7 +137,7 @@ def decode_media(df: DataFrame, media_col: str = "media", id_col: str = "doc_id"
     A null or unreadable recording keeps its row with null results. Other columns, whatever their
     names, are not carried. Recordings at 8 kHz are doubled in rate; at 16 kHz they stay.
     """
-    schema = df.select(F.col(id_col).alias(id_col)).schema.add("codec", "int").add("sample_rate", "int").add("n_samples", "long").add("pcm", "binary")
+    schema = df.select(F.col(id_col).alias(id_col)).schema.add("codec", "integer").add("sample_rate", "integer").add("n_samples", "long").add("pcm", "binary")
 
     def run(batches):
         for batch in batches:

@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import text_parts
 
@@ -129,7 +130,7 @@ def bpe_round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", id_co
     """
     schema = df.select(F.col(id_col)).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if keep:
-        schema = schema.add("ids", "array<int>").add("decoded", "string")
+        schema = schema.add("ids", ArrayType(IntegerType())).add("decoded", "string")
 
     def run(batches):
         table = words_of(vocabulary)

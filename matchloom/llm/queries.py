@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bpe, dac, mixing, warc
+from . import audio, balltree, bpe, chains, dac, dsir, langid, mixing, simhash, warc
 from .common import Scratch
 
 
@@ -27,6 +27,24 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.parse_records(warc.read_archive(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.shared_passages(table(spark, sf_dir, "documents"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = langid.learn(docs.where(~langid.held_out("doc_id")))
+    return langid.predict(docs, net).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: F.pmod(vec_id, F.lit(50)) == 0)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,6 +54,10 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_segments(written)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dsir.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -45,4 +67,4 @@ def op10_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.media_features(stored)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op6_mixing, op7_token_ids, op9_bpe, op10_audio)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_passages, op3_language, op4_simhash, op5_top_k, op6_mixing, op7_token_ids, op8_quality, op9_bpe, op10_audio)}

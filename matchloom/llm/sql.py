@@ -53,4 +53,15 @@ SELECT doc_id, size, source_size, target, (size * (sure + CASE WHEN p > 0 AND ah
 """
 )
 
-SQL = {"op1_warc": OP1, "op6_mixing": OP6}
+OP5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM (SELECT * FROM v WHERE vec_id % 50 = 0) q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+SQL = {"op5_top_k": OP5, "op1_warc": OP1, "op6_mixing": OP6}
