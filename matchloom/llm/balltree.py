@@ -158,8 +158,9 @@ def top_k(df: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: str = "
     queries = rows.where("is_query").dropDuplicates(["vec_id", "vec"]).select(F.col("vec_id").alias("query_id"), "vec", "dims", home.alias("home"), F.pmod(F.hash("vec_id"), F.lit(blocks)).cast("int").alias("block"))
 
     def visit(some: DataFrame) -> DataFrame:
-        return candidates.groupBy(*keys).cogroup(some.groupBy(*keys)).applyInArrow(_shard(k), RESULT)
+        return candidates.alias("c").groupBy(*keys).cogroup(some.groupBy(*keys)).applyInArrow(_shard(k), RESULT)
 
+    queries = scratch.cut(queries, "queries")
     first = scratch.cut(visit(queries.select("query_id", "vec", "dims", F.col("home").alias("shard"), "block", F.lit(NO_SCORE).alias("kth_score"), F.lit(NO_ID).alias("kth_vec"))), "first")
     found = first
     if shards > 1:
