@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 
 import pyarrow as pa
@@ -87,13 +88,19 @@ class WordBpe:
         return " ".join(self.strings[i] for i in ids if i in self.strings)
 
 
+#: A run of stops and commas that ends a word, behind an ASCII letter or digit, is a piece of its own.
+_WORD_STOPS = re.compile(rb"(?<=[a-z0-9])([.,]+)(?=[ \t\n\r\x0b\x0c]|\Z)")
+
+
 def split_words(raw: bytes) -> list[bytes]:
-    """The text's parts between ASCII white space, where no token crosses.
+    """The text's parts between ASCII white space, and stops and commas at their ends, where no token crosses.
 
     ASCII letters are lower-cased first unless that could change a result: special tokens are matched
     before lower-casing, and some combining marks compose with a small letter only.
     """
-    return raw.split() if b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw else raw.lower().split()
+    if b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw:
+        return raw.split()
+    return _WORD_STOPS.sub(rb" \1", raw.lower()).split()
 
 
 class _Words(dict):

@@ -146,7 +146,7 @@ class _Ids(dict):
 _KEPT: dict[str, _Ids] = {}
 
 
-def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_col: str = "doc_id", end_id: int = 1, segment_tokens: int = 1 << 20, most: int = 400_000) -> DataFrame:
+def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_col: str = "doc_id", end_id: int = 1, segment_tokens: int = 1 << 20, most: int = 1_000_000) -> DataFrame:
     """Tokenised documents in ascending id order as rows of the file format above; write them as Parquet.
 
     Each document's ids end with end_id. Null ids come first, rows of equal ids follow in the order of
