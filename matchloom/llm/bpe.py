@@ -10,10 +10,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import re
 import unicodedata
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,19 +88,29 @@ class WordBpe:
         return " ".join(self.strings[i] for i in ids if i in self.strings)
 
 
-#: A run of stops and commas that ends a word, behind an ASCII letter or digit, is a piece of its own.
-_WORD_STOPS = re.compile(rb"(?<=[a-z0-9])([.,]+)(?=[ \t\n\r\x0b\x0c]|\Z)")
-
-
 def split_words(raw: bytes) -> list[bytes]:
-    """The text's parts between ASCII white space, and stops and commas at their ends, where no token crosses.
+    """The text's parts between ASCII white space, where no token crosses.
 
     ASCII letters are lower-cased first unless that could change a result: special tokens are matched
     before lower-casing, and some combining marks compose with a small letter only.
     """
-    if b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw:
-        return raw.split()
-    return _WORD_STOPS.sub(rb" \1", raw.lower()).split()
+    return raw.split() if b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw else raw.lower().split()
+
+
+def split_many(texts: pa.Array) -> pa.ListArray:
+    """split_words of many texts (Arrow strings), by Arrow; parts may be empty."""
+    raw = texts.cast(pa.binary())
+    kept = pc.or_(pc.or_(pc.match_substring(raw, b"<|"), pc.match_substring(raw, b"\xcc")), pc.match_substring(raw, b"\xcd"))
+    return pc.ascii_split_whitespace(pc.if_else(kept, texts, pc.ascii_lower(texts)))
+
+
+_PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def end_stops(word: bytes) -> bytes:
+    """The stops and commas that end a word, if they are a piece of their own, as behind an ASCII letter or digit."""
+    base = word.rstrip(b".,")
+    return word[len(base) :] if base and base[-1] in _PLAIN else b""
 
 
 class _Words(dict):
@@ -111,10 +121,14 @@ class _Words(dict):
         self.bpe, self.most = bpe, most
 
     def __missing__(self, word: bytes) -> tuple[bytes, bytes]:
-        ids = self.bpe.tokens(word.decode("utf-8", "replace"))
+        if stops := end_stops(word):
+            got = tuple(b" ".join(x) for x in zip(self[word[: -len(stops)]], self[stops]))
+        else:
+            ids = self.bpe.tokens(word.decode("utf-8", "replace"))
+            got = (" ".join(map(str, ids)).encode(), self.bpe.decode(ids).encode())
         if len(self) >= self.most:
             self.clear()
-        got = self[word] = (" ".join(map(str, ids)).encode(), self.bpe.decode(ids).encode())
+        self[word] = got
         return got
 
 

@@ -12,6 +12,7 @@ n_ids chunk bytes, the bitmap of ceil(n_ids / 8) bytes (lowest bit first) and on
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -22,10 +23,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import split_words
+from .bpe import end_stops, split_many
 from .common import ragged, slices, text_parts
 
-BITS_PER_RANK = 512
+BITS_PER_RANK, PORTION = 512, 1 << 22
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -103,7 +104,11 @@ class Reader:
 
 
 class _Ids(dict):
-    """A number for each word, in order of appearance, and the ids that the tokenizer gives it."""
+    """A number for each word, in order of appearance, and the ids that the tokenizer gives it.
+
+    Words of letters only are encoded together, some hundred to a text: each is one piece, so its ids end with the one
+    token that ends a word. Stops and commas at the end of a word are looked up apart.
+    """
 
     def __init__(self, path: str, most: int):
         super().__init__()
@@ -113,40 +118,78 @@ class _Ids(dict):
         self.tokenizer, self.most, self.new = Tokenizer.from_file(path), most, []
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.flat, self.used, self.at = np.zeros(1 << 16, np.uint32), 0, [0]
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.first, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
     def __missing__(self, word: bytes) -> int:
         self.new.append(word)
         self[word] = n = len(self)
         return n
 
-    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words together, and how many each has."""
+    def _put(self, numbers: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.first[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.size[numbers] = sizes
+        self.used += len(ids)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, group: int = 256) -> None:
+        lettered, others, stopped = [], [], []
+        for word in self.new:  # grows by words without their stops
+            if stops := end_stops(word):
+                stopped.append((self[word], self[word[: -len(stops)]], self[stops]))
+            else:
+                text = word.decode("utf-8", "replace")
+                (lettered if text.isalpha() else others).append((self[word], text))
+        self.new = []
+        while len(self) > len(self.first):
+            self.first, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.first, self.size))
+        groups = [lettered[i : i + group] for i in range(0, len(lettered), group)]
+        for own, found in zip(groups, self._encode([" ".join(t for _, t in own) for own in groups])):
+            ids = np.array(found, np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(own) and last[-1] == len(ids) - 1:
+                self._put([n for n, _ in own], ids, np.diff(np.concatenate(([-1], last))))
+            else:
+                others += own
+        found = self._encode([t for _, t in others])
+        self._put([n for n, _ in others], np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64))
+        if stopped:
+            whole, base, stops = map(np.array, zip(*stopped))
+            parts = np.stack((base, stops), 1).ravel()
+            self._put(whole, self.flat[ragged(self.first[parts], self.size[parts])], self.size[base] + self.size[stops])
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words (Arrow strings) together, and how many each has. Only a portion's distinct words are looked up one by one."""
         if len(self) >= self.most:
             self.reset()
-        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        numbers = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))
         if self.new:
-            for found in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in self.new], add_special_tokens=False):
-                ids = found.ids
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.at.append(self.used)
-            self.new = []
-        at = np.asarray(self.at, np.int64)
-        lengths = at[numbers + 1] - at[numbers]
-        return self.flat[ragged(at[numbers], lengths)], lengths
+            self._learn()
+        numbers = numbers[coded.indices.to_numpy()] if len(distinct) else numbers
+        lengths = self.size[numbers]
+        return self.flat[ragged(self.first[numbers], lengths)], lengths
 
 
 _KEPT: dict[str, _Ids] = {}
 
 
-def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_col: str = "doc_id", end_id: int = 1, segment_tokens: int = 1 << 20, most: int = 1_000_000) -> DataFrame:
+def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_col: str = "doc_id", end_id: int = 1, segment_tokens: int = 1 << 20, most: int = 1_500_000) -> DataFrame:
     """Tokenised documents in ascending id order as rows of the file format above; write them as Parquet.
 
     Each document's ids end with end_id. Null ids come first, rows of equal ids follow in the order of
@@ -165,13 +208,11 @@ def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_co
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([total], pa.int64()), pa.array([pack(ids)], pa.binary())], names=["shard", "segment", "doc_ids", "lengths", "n_tokens", "codes"])
 
         for batch in batches:
-            body, at = text_parts(batch.column(1))
-            raw, names = body.tobytes(), batch.column(0).to_pylist()
-            for i, j in slices(at, 1 << 20):
-                split = [split_words(raw[a:b]) for a, b in zip(at[i:j].tolist(), at[i + 1 : j + 1].tolist())]
-                counts = np.array([len(x) for x in split])
-                ids, lengths = table.ids([w for x in split for w in x])
-                ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(counts)]
+            texts, names = batch.column(1).fill_null(""), batch.column(0).to_pylist()
+            for i, j in slices(text_parts(texts)[1], PORTION):
+                split = split_many(texts.slice(i, j - i))
+                ids, lengths = table.ids(split.flatten())
+                ends = np.concatenate(([0], np.cumsum(lengths)))[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
                 for k, (a, b) in enumerate(zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist())):
                     docs.append(names[i + k])
                     sizes.append(b - a + 1)
