@@ -12,6 +12,7 @@ import heapq
 import json
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -19,7 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from .common import text_parts
+from .common import slices, text_parts
+
+
+PORTION = 1 << 22
 
 
 def byte_symbols() -> list[str]:
@@ -156,14 +160,19 @@ def bpe_round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", id_co
     def run(batches):
         table = words_of(vocabulary)
         for batch in batches:
-            body, at = text_parts(batch.column(1))
-            raw, rows = body.tobytes(), []
-            for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
-                found = [table[w] for w in split_words(raw[i:j])]
-                ids, strings = b" ".join([x[0] for x in found if x[0]]), b" ".join([x[1] for x in found if x[0]])
-                row = (ids.count(b" ") + 1 if ids else 0, hashlib.sha256(ids).hexdigest(), hashlib.sha256(strings).hexdigest())
-                rows.append((*row, [int(x) for x in ids.split()], strings.decode()) if keep else row)
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()][: len(schema) - 1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names=[f.name for f in schema])
+            texts = batch.column(1).fill_null("")
+            for i, j in slices(text_parts(texts)[1], PORTION):
+                split = split_many(texts.slice(i, j - i))
+                coded = split.flatten().dictionary_encode()
+                found = [table[w] for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+                some = np.fromiter((bool(x[0]) for x in found), bool, len(found))[coded.indices.to_numpy()] if found else np.zeros(0, bool)
+                ends = np.concatenate(([0], np.cumsum(some)))[split.offsets.to_numpy() - split.offsets[0].as_py()]
+                at, which = pa.array(ends.astype(np.int32)), coded.indices.filter(pa.array(some))
+                ids, strings = (pc.binary_join(pa.ListArray.from_arrays(at, pa.array([x[k] for x in found], pa.binary()).take(which)), b" ").to_pylist() for k in (0, 1))
+                rows = [(x.count(b" ") + 1 if x else 0, hashlib.sha256(x).hexdigest(), hashlib.sha256(y).hexdigest()) for x, y in zip(ids, strings)]
+                if keep:
+                    rows = [(*r, [int(n) for n in x.split()], y.decode()) for r, x, y in zip(rows, ids, strings)]
+                kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()][: len(schema) - 1]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names=[f.name for f in schema])
 
     return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
