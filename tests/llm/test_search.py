@@ -121,7 +121,7 @@ def test_chain_is_best(spark):
     def best(parts):
         score = []
         for i, (a, b, n) in enumerate(parts):
-            ahead = [score[j] - 0.5 * (a - c - m + b - d - m) for j, (c, d, m) in enumerate(parts[:i]) if c + m <= a and d + m <= b]
+            ahead = [score[j] - chains.GAP_COST * (a - c - m + b - d - m) for j, (c, d, m) in enumerate(parts[:i]) if c + m <= a and d + m <= b]
             score.append(n + max([0, *ahead]))
         return max(score)
 
@@ -130,7 +130,7 @@ def test_chain_is_best(spark):
         found = chains.chain(parts)
         assert sorted(p for c in found for p in c) == sorted(parts)
         first = found[0]
-        assert sum(p[2] for p in first) - sum(0.5 * (q[0] - p[0] - p[2] + q[1] - p[1] - p[2]) for p, q in zip(first, first[1:])) == pytest.approx(best(parts))
+        assert sum(p[2] for p in first) - sum(chains.GAP_COST * (q[0] - p[0] - p[2] + q[1] - p[1] - p[2]) for p, q in zip(first, first[1:])) == pytest.approx(best(parts))
 
 
 def test_minimizers_cover_every_window():
@@ -140,7 +140,7 @@ def test_minimizers_cover_every_window():
     for t in range(len(at) - 1):
         n, own = at[t + 1] - at[t] - 4, set(pos[text == t].tolist())
         assert bool(own) == (n > 0) and all(0 <= p < n for p in own)
-        assert all(any(s + k in own for k in range(16)) for s in range(max(0, n - 15)))
+        assert all(any(s + k in own for k in range(chains.WINDOW)) for s in range(max(0, n - chains.WINDOW + 1)))
 
 
 def test_top_k(spark):
