@@ -95,7 +95,7 @@ def name_address_text(core: Column, address: Column) -> Column:
 
 
 def parse_ids(text: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def format_ids(ids: Column) -> Column:

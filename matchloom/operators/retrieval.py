@@ -50,10 +50,12 @@ def char_grams(text: Column, sizes: Iterable[int] = (3, 4)) -> Column:
     padded = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
     low = min(sizes)
 
+    def of_size(word: Column, n: int) -> Column:
+        last = F.char_length(word) - n + 1
+        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(word, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
     def of(word: Column) -> Column:
-        size = F.char_length(word)
-        every = [F.when(size >= n, F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i, n=n: F.substring(word, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in sizes]
-        return F.when(size < low, F.array(word)).otherwise(F.concat(*every))
+        return F.when(F.char_length(word) < low, F.array(word)).otherwise(F.concat(*(of_size(word, n) for n in sizes)))
 
     return F.flatten(F.transform(padded, of))
 
@@ -118,8 +120,8 @@ def hashed_encoder(dims: int = 256):
 
 def embed(df: DataFrame, encoder=None) -> DataFrame:
     """Adds `vec` to records with `text`; each distinct text is encoded once."""
-    vectors = df.select("text").distinct().withColumn("vec", (encoder or hashed_encoder())("text"))
-    return df.join(vectors, df.text.eqNullSafe(vectors.text)).select(*(df[c] for c in df.columns), vectors.vec)
+    vectors = df.select(F.col("text").alias("_text")).distinct().withColumn("vec", (encoder or hashed_encoder())("_text"))
+    return df.join(vectors, F.col("text").eqNullSafe(F.col("_text"))).drop("_text")
 
 
 def dense_top_k(queries: DataFrame, index: DataFrame, k: int, block: int = 4096, precision: str = "float32") -> DataFrame:
@@ -134,22 +136,21 @@ def dense_top_k(queries: DataFrame, index: DataFrame, k: int, block: int = 4096,
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     q = queries.join(both, "grp").select("grp", "id", "vec", own("q_parts").alias("qb"), every("x_parts").alias("xb"))
-    x = index.join(both, "grp").select("grp", "id", "vec", every("q_parts").alias("qb"), own("x_parts").alias("xb"))
+    x = index.join(both, "grp").select("grp", "id", "vec", every("q_parts").alias("qb"), own("x_parts").alias("xb")).toDF("grp2", "id2", "vec2", "qb2", "xb2")
     group_type = queries.schema["grp"].dataType.simpleString()
     schema = f"grp {group_type}, s1_id {queries.schema['id'].dataType.simpleString()}, cand_id {index.schema['id'].dataType.simpleString()}, score double"
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"grp": left.column("grp").slice(0, 0), "s1_id": left.column("id").slice(0, 0), "cand_id": right.column("id").slice(0, 0), "score": pa.array([], pa.float64())})
-        matrix = lambda t: t.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(precision).reshape(t.num_rows, -1)
-        right = right.sort_by("id")
-        score = np.round((matrix(left) @ matrix(right).T).astype(np.float64), PLACES)
+            return pa.table({"grp": left.column("grp").slice(0, 0), "s1_id": left.column("id").slice(0, 0), "cand_id": right.column("id2").slice(0, 0), "score": pa.array([], pa.float64())})
+        matrix = lambda t, name: t.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(precision).reshape(t.num_rows, -1)
+        right = right.sort_by("id2")
+        score = np.round((matrix(left, "vec") @ matrix(right, "vec2").T).astype(np.float64), PLACES)
         best = np.argsort(-score, axis=1, kind="stable")[:, :k]
         rows = np.repeat(np.arange(left.num_rows), best.shape[1])
-        return pa.table({"grp": left.column("grp").take(rows), "s1_id": left.column("id").take(rows), "cand_id": right.column("id").take(best.ravel()), "score": score[rows, best.ravel()]})
+        return pa.table({"grp": left.column("grp").take(rows), "s1_id": left.column("id").take(rows), "cand_id": right.column("id2").take(best.ravel()), "score": score[rows, best.ravel()]})
 
-    keys = ["grp", "qb", "xb"]
-    met = q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInArrow(meet, schema)
+    met = q.groupBy("grp", "qb", "xb").cogroup(x.groupBy("grp2", "qb2", "xb2")).applyInArrow(meet, schema)
     return top_k(met, ["grp", "s1_id"], [F.desc("score"), F.asc("cand_id")], k)
 
 

@@ -405,7 +405,7 @@ def _eq(f: str) -> str:
 
 
 _DA, _DB, _LA, _LB = (words_sql(f"{s}.{f}") for f in ("digits", "long_nums") for s in "ab")
-_FAM = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in lex.LEGAL_FAMILIES.items()) + "}"
+_FAM = f"map_from_entries([{', '.join(f'({k!r}, {v!r})' for k, v in lex.LEGAL_FAMILIES.items())}])"
 _FA, _FB = (f"list_filter(list_transform({words_sql(f'{s}.name_suffix')}, lambda w: FAM[w]), lambda f: f IS NOT NULL)" for s in "ab")
 _NATIVE_SQL = {
     "name_core_exact": "(a.name_core = b.name_core)::INT::DOUBLE", "name_compact_exact": "(a.name_compact = b.name_compact)::INT::DOUBLE", "suffix_equal": "(a.name_suffix = b.name_suffix)::INT::DOUBLE", "suffix_both": "(a.name_suffix <> '' AND b.name_suffix <> '')::INT::DOUBLE",
@@ -417,7 +417,7 @@ _NATIVE_SQL = {
 }
 
 
-@query("biz", sql=NEIGHBOURS.format(", ".join(f"{e.replace('FAM', _FAM)} AS {n}" for n, e in _NATIVE_SQL.items()).replace("{", "{{").replace("}", "}}")).replace("map {", "MAP {"))
+@query("biz", sql=NEIGHBOURS.format(", ".join(f"{e.replace('FAM', _FAM)} AS {n}" for n, e in _NATIVE_SQL.items())))
 def pair_flags(biz):
     """SM7 to SM11 and every feature made of them."""
     both = features.join_records(_neighbours(biz), biz, biz).select("s1_id", "cand_id", *features.native_features())
@@ -612,9 +612,9 @@ def _pred(scored: DataFrame) -> DataFrame:
     return decide.decide_pairs(scored, 0.5)
 
 
-@query("scored", "truth", "universe", sql=f"WITH {SCORES}, d AS (SELECT *, regexp_extract(s1_id, '[0-9]+')::INT % 5 AS fold FROM f), g AS (SELECT fold, avg(f) AS m FROM d GROUP BY fold) SELECT fold, round(m, 6) AS macro_f05, round(avg(m) OVER (), 6) AS mean_f05, round(stddev_pop(m) OVER (), 6) AS std_f05 FROM g")
+@query("scored", "truth", "universe", sql=f"WITH {SCORES}, d AS (SELECT *, split_part(s1_id, '-', 2)::INT % 5 AS fold FROM f), g AS (SELECT fold, avg(f) AS m FROM d GROUP BY fold) SELECT fold, round(m, 6) AS macro_f05, round(avg(m) OVER (), 6) AS mean_f05, round(stddev_pop(m) OVER (), 6) AS std_f05 FROM g")
 def fold_stability(scored, truth, universe):
-    folds = universe.select("s1_id", (F.regexp_extract("s1_id", "[0-9]+", 0).cast("int") % 5).alias("fold"))
+    folds = universe.select("s1_id", (F.substring_index("s1_id", "-", -1).cast("int") % 5).alias("fold"))
     return _round(decide.fold_stability(scored, truth, folds, 0.5), "macro_f05", "mean_f05", "std_f05")
 
 
@@ -830,13 +830,13 @@ def o2o_removals(scored, truth):
     return errors.one_to_one_removals(scored, truth)
 
 
-SLICED = """w AS (SELECT t.s1_id, t.cand_id, 'x' AS stage, a.country AS country, CASE WHEN coalesce(n, 0) = 0 THEN '0' WHEN n <= 5 THEN '1-5' WHEN n <= 20 THEN '6-20' WHEN n <= 50 THEN '21-50' ELSE '50+' END AS candidate_bucket,
+SLICED = """w AS (SELECT t.s1_id, t.cand_id, 'x' AS stage, a.country AS country, CASE WHEN coalesce(k, 0) = 0 THEN '0' WHEN k <= 5 THEN '1-5' WHEN k <= 20 THEN '6-20' WHEN k <= 50 THEN '21-50' ELSE '50+' END AS candidate_bucket,
 CASE WHEN a.name_core = b.name_core THEN 'exact_core' ELSE 'different_core' END AS name_quality_bucket, CASE a.addr_empty::INT + b.addr_empty::INT WHEN 0 THEN 'both_present' WHEN 1 THEN 'one_missing' ELSE 'both_missing' END AS addr_quality_bucket, 'all_latin' AS transliteration_bucket, 'False' AS any_representation_loss
-FROM {truth_biz} t JOIN {biz} a ON a.entity_id = s1_id JOIN {biz} b ON b.entity_id = cand_id LEFT JOIN (SELECT s1_id, count(*) AS n FROM dg GROUP BY s1_id) USING (s1_id)),
+FROM {truth_biz} t JOIN {biz} a ON a.entity_id = s1_id JOIN {biz} b ON b.entity_id = cand_id LEFT JOIN (SELECT s1_id, count(*) AS k FROM dg GROUP BY s1_id) USING (s1_id)),
 lw AS (UNPIVOT (SELECT w.* EXCLUDE (stage), CASE WHEN dg.s1_id IS NULL THEN 'blocking_false_negative' WHEN score < 3 THEN 'matcher_false_negative' ELSE 'correct_match' END AS stage FROM w LEFT JOIN dg USING (s1_id, cand_id)) ON country, candidate_bucket, name_quality_bucket, addr_quality_bucket, transliteration_bucket, any_representation_loss INTO NAME slice_dim VALUE slice_value)"""
 
 
-@query("biz", "truth_biz", sql=f"WITH dg AS ({SQL['block_digit']}), {SLICED} SELECT slice_dim, slice_value, stage, count(*) AS count, round(count(*) / sum(count(*)) OVER (PARTITION BY slice_dim, slice_value), 6) AS share FROM lw GROUP BY ALL")
+@query("biz", "truth_biz", sql=f"WITH dg AS ({SQL['block_digit']}), {SLICED} SELECT slice_dim, slice_value, stage, count(*) AS count, round(count(*) / sum(count(*)) OVER (PARTITION BY slice_dim, slice_value), 6) AS share FROM lw GROUP BY slice_dim, slice_value, stage")
 def slice_report(biz, truth):
     cands = block_digit(biz)
     scored = cands.withColumnRenamed("score", "prob")

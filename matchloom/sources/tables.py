@@ -72,7 +72,7 @@ def submission_findings(matches: DataFrame, candidates: DataFrame, universe: Dat
     repeated = row(universe.groupBy("s1_id").count().where("count > 1"), "repeated_s1")
     misnamed = row(universe.where(~F.col("s1_id").startswith("S1-")), "wrong_s1_prefix")
     unknown = row(matches.select("s1_id").unionByName(candidates.select("s1_id")).distinct().join(universe, "s1_id", "left_anti"), "unknown_s1")
-    outside = matches.join(candidates.withColumnRenamed("ids", "cand_ids"), "s1_id", "left").select("s1_id", F.explode(F.array_except(F.transform("ids", F.trim), F.coalesce(F.transform("cand_ids", F.trim), F.array().cast("array<string>")))).alias("value")).select(F.lit("match_not_candidate").alias("category"), "s1_id", "value")
+    outside = matches.join(candidates.withColumnRenamed("ids", "cand_ids"), "s1_id", "left").select("s1_id", F.explode(F.array_except(F.transform("ids", lambda x: F.trim(x)), F.coalesce(F.transform("cand_ids", lambda x: F.trim(x)), F.array().cast("array<string>")))).alias("value")).select(F.lit("match_not_candidate").alias("category"), "s1_id", "value")
     return both.unionByName(repeated).unionByName(misnamed).unionByName(unknown).unionByName(outside)
 
 
@@ -87,7 +87,7 @@ def write_submission(matches: DataFrame, candidates: DataFrame, universe: DataFr
     target = Path(out_dir)
     target.mkdir(parents=True, exist_ok=True)
     for name, lists, header in (("matches.tsv", matches, "matched_entity_ids"), ("candidates.tsv", candidates, "candidate_entity_ids")):
-        lines = universe.join(lists, "s1_id", "left").orderBy("position").select("s1_id", F.coalesce(format_ids(F.transform("ids", F.trim)), F.lit("")).alias("ids"))
+        lines = universe.join(lists, "s1_id", "left").orderBy("position").select("s1_id", F.coalesce(format_ids(F.transform("ids", lambda x: F.trim(x))), F.lit("")).alias("ids"))
         with open(target / f".{name}", "w", encoding="utf-8", newline="\n") as f:
             f.write(f"source1_entity_id\t{header}\n")
             f.writelines(f"{r.s1_id}\t{r.ids}\n" for r in lines.toLocalIterator())
