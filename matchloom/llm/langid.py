@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ragged, text_parts
+from .common import ragged, slices, text_parts
 
 WIDTHS, WINDOW = (2, 3, 4), 512
 UNKNOWN = "und"
@@ -164,26 +164,54 @@ def predict(df: DataFrame, net: Network | None, text_col: str = "text", id_col:
     their number, repeated ones too; other columns are neither used nor carried.
     """
     schema = df.select(F.col(id_col)).schema.add("lang_pred", "string").add("score", "double")
-    state: list[Predictor] = []
+    told = _teller(net, most)
+
+    def run(batches):
+        for batch in batches:
+            for i, j, langs, scores in told(batch.column(1), batch.column(2)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(langs, pa.string()), pa.array(scores)], names=[f.name for f in schema])
+
+    return df.select(F.col(id_col), F.col(text_col), _lettered(text_col)).mapInArrow(run, schema)
+
+
+def keep_known(df: DataFrame, net: Network | None, least: float, text_col: str = "text", lang_col: str = "lang", most: int = 1 << 21) -> DataFrame:
+    """The rows whose language is learned and has a probability of `least` at least, with that language in lang_col; all columns stay.
+
+    Texts that are null or without a letter go. Rows leave Python in portions of about `most` bytes of text.
+    """
+    names, told = df.columns, _teller(net, most)
 
     def run(batches):
+        for batch in batches:
+            for i, j, langs, scores in told(batch.column(names.index(text_col)), batch.column(len(names))):
+                own = [pa.array(langs, pa.string()) if n == lang_col else batch.column(k).slice(i, j - i) for k, n in enumerate(names)]
+                yield pa.RecordBatch.from_arrays(own, names=names).filter(pa.array((langs != UNKNOWN) & (scores >= least)))
+
+    return df.select(*names, _lettered(text_col)).mapInArrow(run, df.schema)
+
+
+def _lettered(text_col: str):
+    return F.col(text_col).rlike(r"\p{L}").alias("_lettered")
+
+
+def _teller(net: Network | None, most: int):
+    """A function of texts and whether they have letters, that gives (start, end, languages, scores) by portions."""
+    state: list[Predictor] = []
+
+    def told(texts: pa.Array, lettered: pa.Array):
         if net is not None and not state:
             state.append(Predictor(net))
-        for batch in batches:
-            lettered = np.array(batch.column(2).fill_null(False).to_pylist(), bool)
-            body, at = text_parts(batch.column(1))
-            langs, scores = np.full(len(lettered), UNKNOWN, object), np.zeros(len(lettered))
-            i = 0
-            while net is not None and i < len(lettered):
-                j = min(len(lettered), max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1, 0), i + 4096)
+        use_all = np.array(lettered.fill_null(False).to_pylist(), bool)
+        body, at = text_parts(texts)
+        for i, j in slices(at, most):
+            langs, scores, use = np.full(j - i, UNKNOWN, object), np.zeros(j - i), use_all[i:j]
+            if state:
                 prob = state[0].texts(body[at[i] : at[j]], at[i : j + 1] - at[i])
-                best, use = prob.argmax(axis=1), lettered[i:j]
-                langs[i:j][use] = np.array(net.langs, object)[best[use]]
-                scores[i:j][use] = np.clip(prob.max(axis=1), 0, 1)[use]
-                i = j
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores)], names=[f.name for f in schema])
+                langs[use] = np.array(net.langs, object)[prob.argmax(axis=1)[use]]
+                scores[use] = np.clip(prob.max(axis=1), 0, 1)[use]
+            yield i, j, langs, scores
 
-    return df.select(F.col(id_col), F.col(text_col), F.col(text_col).rlike(r"\p{L}").alias("lettered")).mapInArrow(run, schema)
+    return told
 
 
 def held_out(id_col: str = "doc_id"):
