@@ -25,7 +25,7 @@ class ModelConfig:
     least_rows: int = 10
     subsample: float = 0.8
     feature_share: str = "0.8"
-    l2_tolerance: float = 0.001
+    tolerance: float = 0.001
     seed: int = 42
 
 
@@ -39,7 +39,7 @@ def train_full(df: DataFrame, columns: list[str] | None = None, config: ModelCon
     columns = columns or feature_columns(df)
     gbt = GBTClassifier(labelCol="label", featuresCol="_features", maxIter=rounds or config.rounds, stepSize=config.step, maxDepth=config.depth, minInstancesPerNode=config.least_rows, subsamplingRate=config.subsample, featureSubsetStrategy=config.feature_share, seed=config.seed)
     if validation:
-        gbt = gbt.setValidationIndicatorCol(validation).setValidationTol(config.l2_tolerance)
+        gbt.setParams(validationIndicatorCol=validation, validationTol=config.tolerance)
     assembler = VectorAssembler(inputCols=[f"{p}{c}" for c in columns for p in ("_v_", "_u_")], outputCol="_features")
     return Pipeline(stages=[assembler, gbt]).fit(model_input(df, columns))
 

@@ -42,7 +42,7 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | None = None) -
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
+    df.write.mode(mode).option("sep", "\t").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def truth_pairs(truth: DataFrame) -> tuple[DataFrame, DataFrame]:
