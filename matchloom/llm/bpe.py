@@ -139,7 +139,7 @@ class _Words(dict):
 _KEPT: dict[str, _Words] = {}
 
 
-def words_of(path: str, most: int = 400_000) -> _Words:
+def words_of(path: str, most: int = 1_000_000) -> _Words:
     """The worker's own table for a vocabulary; later tasks of the worker find it filled."""
     if path not in _KEPT:
         _KEPT[path] = _Words(WordBpe(path), most)
@@ -151,7 +151,7 @@ def bpe_round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", id_co
 
     A null or empty text has no tokens and the digests of the empty string. Each input row gives one
     row, repeated ones too; columns besides id and text are not carried, so their names can't clash.
-    Memory: one Arrow batch and a table of at most 400,000 words a worker.
+    Memory: one Arrow batch and a table of at most 1,000,000 words a worker.
     """
     schema = df.select(F.col(id_col)).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if keep:
