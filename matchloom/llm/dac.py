@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .bpe import end_stops, split_many
 from .common import ragged, slices, text_parts
 
-BITS_PER_RANK, PORTION = 512, 1 << 22
+BITS_PER_RANK, PORTION = 512, 1 << 24
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -173,7 +173,7 @@ class _Ids(dict):
             self._put(whole, self.flat[ragged(self.first[parts], self.size[parts])], self.size[base] + self.size[stops])
 
     def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words (Arrow strings) together, and how many each has. Only a portion's distinct words are looked up one by one."""
+        """Ids of all words (Arrow strings) together, and the offsets of the words' ids. Only a portion's distinct words are looked up one by one."""
         if len(self) >= self.most:
             self.reset()
         coded = words.dictionary_encode()
@@ -181,9 +181,10 @@ class _Ids(dict):
         numbers = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))
         if self.new:
             self._learn()
-        numbers = numbers[coded.indices.to_numpy()] if len(distinct) else numbers
-        lengths = self.size[numbers]
-        return self.flat[ragged(self.first[numbers], lengths)], lengths
+        sizes = self.size[numbers]
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.flat[ragged(self.first[numbers], sizes)])).take(coded.indices)
+        return found.flatten().to_numpy(), found.offsets.to_numpy()
 
 
 _KEPT: dict[str, _Ids] = {}
@@ -211,8 +212,8 @@ def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_co
             texts, names = batch.column(1).fill_null(""), batch.column(0).to_pylist()
             for i, j in slices(text_parts(texts)[1], PORTION):
                 split = split_many(texts.slice(i, j - i))
-                ids, lengths = table.ids(split.flatten())
-                ends = np.concatenate(([0], np.cumsum(lengths)))[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
+                ids, offsets = table.ids(split.flatten())
+                ends = offsets[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
                 for k, (a, b) in enumerate(zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist())):
                     docs.append(names[i + k])
                     sizes.append(b - a + 1)
