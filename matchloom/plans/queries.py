@@ -13,6 +13,7 @@ from ..functions import normalize as nz
 from ..functions.similarity import pair_scores, scorer
 from ..operators import blocking, decide, drift, errors, evaluate, features, keys, retrieval, sampling
 from ..sources import tables
+from . import diagnostics
 from .fixtures import view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -865,3 +866,53 @@ def feature_smd(scored, truth):
     p = features.label_pairs(scored, truth)
     of = lambda f, v: f(F.when(F.col("label") == v, F.col("prob")))
     return p.agg(F.round((of(F.avg, 1) - of(F.avg, 0)) / F.sqrt((of(F.var_samp, 1) + of(F.var_samp, 0)) / 2), 6).alias("smd")).select(F.lit("prob").alias("feature"), "smd")
+
+
+# Diagnostics.
+
+def _truth_biz(biz: DataFrame) -> DataFrame:
+    """Each other record with the first query of the same name and address."""
+    first = biz.where("entity_id LIKE 'S1-%'").groupBy("name_core", "addr_norm").agg(F.min("n").alias("k"))
+    return biz.where("entity_id NOT LIKE 'S1-%'").join(first, ["name_core", "addr_norm"]).select(F.concat(F.lit("S1-"), "k").alias("s1_id"), F.col("entity_id").alias("cand_id"))
+
+
+def _halves(biz: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return biz.where("entity_id LIKE 'S1-%'"), biz.where("entity_id NOT LIKE 'S1-%'")
+
+
+@query("biz")
+def dg_key_counterfactual(biz):
+    return diagnostics.key_counterfactual(*_halves(biz), _truth_biz(biz), ("prod_address", "digit_pair_set"))
+
+
+@query("biz")
+def dg_address_forensics(biz):
+    return diagnostics.address_forensics(_truth_biz(biz), *_halves(biz))
+
+
+@query("biz")
+def dg_miss_forensics(biz):
+    return diagnostics.miss_forensics(_neighbours(biz), biz, biz)
+
+
+@query("biz")
+def dg_name_retrieval_ranks(biz):
+    return diagnostics.name_retrieval_ranks(*_halves(biz), _truth_biz(biz))
+
+
+@query("scored", "truth", "universe")
+def dg_decision_validation(scored, truth, universe):
+    return diagnostics.decision_validation(scored, truth, universe, 0.6, 0.8)
+
+
+@query("scored", "truth", sql=f"""WITH {CLASSES}, h AS (SELECT count(*) AS hard_negatives FROM {{scored}} s ANTI JOIN {{truth}} t USING (s1_id, cand_id) WHERE s.prob >= 0.5),
+g AS (SELECT count(*) FILTER (stage <> 'blocking_false_negative') AS in_candidates, count(*) FILTER (stage = 'matcher_false_negative') AS matcher_lost, count(*) FILTER (stage = 'blocking_false_negative') AS blocking_lost FROM cl)
+SELECT *, in_candidates >= 20 AS enough_candidates, matcher_lost >= 10 AND matcher_lost >= 0.05 * in_candidates AS matcher_rejects, hard_negatives >= 10 AS negatives_overlap, matcher_lost > blocking_lost AS matcher_is_the_weakness,
+in_candidates >= 20 AND matcher_lost >= 10 AND matcher_lost >= 0.05 * in_candidates AND hard_negatives >= 10 AND matcher_lost > blocking_lost AS all_hold FROM g, h""")
+def dg_hard_negative_gate(scored, truth):
+    return diagnostics.hard_negative_gate(features.label_pairs(scored, truth), classify_true_pairs(scored, truth), 0.5)
+
+
+@query("scored", "truth", sql="WITH p AS (SELECT s.prob, (t.s1_id IS NOT NULL)::INT::VARCHAR AS split FROM {scored} s LEFT JOIN {truth} t USING (s1_id, cand_id)) SELECT split, 'prob' AS covariate, count(*) AS n, round(avg(prob), 6) AS mean, " + ", ".join(f"round(quantile_cont(prob, {q}), 6) AS p{int(q * 100)}" for q in (0.5, 0.75, 0.9, 0.95, 0.99)) + " FROM p GROUP BY split")
+def dg_score_quantiles(scored, truth):
+    return _round(diagnostics.score_quantiles(features.label_pairs(scored, truth)), "mean", "p50", "p75", "p90", "p95", "p99")
