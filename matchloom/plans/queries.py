@@ -441,7 +441,7 @@ def context_windows(scored):
 def build_features(biz):
     """All 62 features of candidates of the seven passes."""
     s1, others = biz.where("entity_id LIKE 'S1-%'"), biz.where("entity_id NOT LIKE 'S1-%'")
-    cands = retrieval.union_passes(_passes(biz))
+    cands = tables.cut(retrieval.union_passes(_passes(biz)), "candidates")
     vector = lambda df: retrieval.embed(df.select(F.col("entity_id").alias("id"), F.col("name_core").alias("text")))
     return features.build_features(cands, s1, others, (vector(s1), vector(others)))
 

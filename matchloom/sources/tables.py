@@ -7,6 +7,8 @@ import inspect
 import json
 import platform
 import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 from pathlib import Path
@@ -139,6 +141,21 @@ def cached(spark: SparkSession, root: str, name: str, key: str, make: Callable[[
     return spark.read.parquet(path)
 
 
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """The table, written once and read back: for results that a plan reads several times.
+
+    It goes to the folder that the session's spark.checkpoint.dir names; a local one is set only where none is.
+    """
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="matchloom-"))
+        root = spark.sparkContext.getCheckpointDir()
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def expect_rows(df: DataFrame, n: int) -> DataFrame:
     if (found := df.count()) != n:
         raise ValueError(f"{found} rows where {n} were expected")
