@@ -513,7 +513,7 @@ def blocking_stats(biz, truth):
 
 
 @query("biz", "truth_biz", sql=f"""WITH c AS ({SQL['block_digit']}), k AS (SELECT t.s1_id, c.s1_id IS NOT NULL AS hit FROM (SELECT DISTINCT * FROM {{truth_biz}}) t LEFT JOIN c USING (s1_id, cand_id))
-SELECT round((SELECT avg(hit::INT) FROM k), 6) AS pair_recall, round((SELECT avg(f::INT) FROM (SELECT bool_and(hit) AS f FROM k GROUP BY s1_id)), 6) AS s1_full_recall, round((SELECT avg(n) FROM (SELECT count(*) AS n FROM c GROUP BY s1_id)), 6) AS mean_candidates""")
+SELECT round(coalesce((SELECT avg(hit::INT) FROM k), 1), 6)::DOUBLE AS pair_recall, round(coalesce((SELECT avg(f::INT) FROM (SELECT bool_and(hit) AS f FROM k GROUP BY s1_id)), 1), 6)::DOUBLE AS s1_full_recall, round((SELECT avg(n) FROM (SELECT count(*) AS n FROM c GROUP BY s1_id)), 6) AS mean_candidates""")
 def blocking_recall(biz, truth):
     return _round(evaluate.blocking_recall(block_digit(biz), truth), "pair_recall", "s1_full_recall", "mean_candidates")
 
@@ -887,7 +887,7 @@ def dg_key_counterfactual(biz):
 
 @query("biz")
 def dg_address_forensics(biz):
-    return diagnostics.address_forensics(_truth_biz(biz), *_halves(biz))
+    return diagnostics.address_forensics(_neighbours(biz).where("s1_id LIKE 'S1-%'"), *_halves(biz))
 
 
 @query("biz")
