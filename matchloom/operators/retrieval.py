@@ -67,11 +67,14 @@ def word_grams(text: Column) -> Column:
 def tfidf(docs: DataFrame, grams=char_grams, big_group: int = 100_000, min_df: int = 2, max_df: float = 0.05, all_min_df: int = 1) -> DataFrame:
     """(grp, side, id, text) to (grp, side, id, gram, weight): (1 + ln tf) (ln((1 + N) / (1 + df)) + 1), unit length.
 
+    A column `copies`, if there is one, says how many records a row stands for; N and df count all of them.
+
     In groups of big_group texts or more, grams of fewer than min_df texts or more than a max_df share are left out.
     """
-    counts = docs.select("grp", "side", "id", F.explode(grams(F.col("text"))).alias("gram")).groupBy("grp", "side", "id", "gram").agg(F.count(F.lit(1)).alias("tf"))
-    sizes = docs.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    kept = counts.groupBy("grp", "gram").agg(F.count(F.lit(1)).alias("df")).join(sizes, "grp")
+    docs = docs if "copies" in docs.columns else docs.withColumn("copies", F.lit(1))
+    counts = docs.select("grp", "side", "id", "copies", F.explode(grams(F.col("text"))).alias("gram")).groupBy("grp", "side", "id", "copies", "gram").agg(F.count(F.lit(1)).alias("tf"))
+    sizes = docs.groupBy("grp").agg(F.sum("copies").alias("n"))
+    kept = counts.groupBy("grp", "gram").agg(F.sum("copies").alias("df")).join(sizes, "grp")
     kept = kept.where((F.col("df") >= all_min_df) & ((F.col("n") < big_group) | ((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("n")))))
     raw = counts.join(kept, ["grp", "gram"]).withColumn("raw", (1 + F.log("tf")) * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("grp", "side", "id")))
@@ -92,11 +95,28 @@ def sparse_top_k(queries: DataFrame, index: DataFrame, k: int, truncate: bool =
 
 
 def tfidf_pass(queries: DataFrame, index: DataFrame, k: int = 20, query_terms: int = 12, index_terms: int | None = None, grams=char_grams, truncate: bool = True, **limits) -> DataFrame:
-    """Sparse retrieval of (grp, id, text) records, vectors fitted on both sides of each group, queries cut to their heaviest terms."""
-    docs = queries.select("grp", "id", "text", F.lit("q").alias("side")).unionByName(index.select("grp", "id", "text", F.lit("x").alias("side")))
-    vectors = tfidf(docs, grams, **limits)
+    """Sparse retrieval of (grp, id, text) records, vectors fitted on both sides of each group, queries cut to their heaviest terms.
+
+    Equal texts have equal vectors, so texts are compared once, however many records share one. Of the index texts that
+    score highest for a query text, as many go on as k records need, ties included, and those have their first k records.
+    """
+    sides = lambda df, side: df.select("grp", "text", F.lit(side).alias("side"))
+    counted = sides(queries, "q").unionByName(sides(index, "x")).groupBy("grp", "side", "text").agg(F.count(F.lit(1)).alias("copies"))
+    vectors = tfidf(counted.select("grp", "side", F.col("text").alias("id"), "text", "copies"), grams, **limits)
     q, x = prune_terms(vectors.where("side = 'q'"), query_terms), vectors.where("side = 'x'")
-    return sparse_top_k(q, prune_terms(x, index_terms) if index_terms else x, k, truncate)
+    scored = sparse_top_k(q, prune_terms(x, index_terms) if index_terms else x, k, truncate=False).select("grp", F.col("s1_id").alias("q_text"), F.col("cand_id").alias("x_text"), "score")
+    query_ids, index_ids = (df.select(F.col("grp").alias("_grp"), F.col("text").alias("_text"), F.col("id").alias(name)) for df, name in ((queries, "s1_id"), (index, "cand_id")))
+    if truncate:
+        held = counted.where("side = 'x'").select(F.col("grp").alias("_g"), F.col("text").alias("_t"), "copies")
+        sized = scored.join(held, (F.col("grp") == F.col("_g")) & (F.col("x_text") == F.col("_t"))).drop("_g", "_t")
+        by_text = Window.partitionBy("grp", "q_text")
+        better = F.sum("copies").over(by_text.orderBy(F.desc("score"))) - F.sum("copies").over(Window.partitionBy("grp", "q_text", "score"))
+        scored = sized.withColumn("better", better).where(F.col("better") < k).select("grp", "q_text", "x_text", "score")
+        index_ids = top_k(index_ids, ["_grp", "_text"], [F.asc("cand_id")], k)
+    found = scored.join(index_ids, (F.col("grp") == F.col("_grp")) & (F.col("x_text") == F.col("_text"))).select("grp", "q_text", "cand_id", "score")
+    if truncate:
+        found = top_k(found, ["grp", "q_text"], [F.desc("score"), F.asc("cand_id")], k)
+    return found.join(query_ids, (F.col("grp") == F.col("_grp")) & (F.col("q_text") == F.col("_text"))).select("grp", "s1_id", "cand_id", "score")
 
 
 def hashed_encoder(dims: int = 256):
