@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import slices, text_parts
 
 PCM, ALAW, MULAW, IMA_ADPCM = 1, 6, 7, 17
-RATE, TARGET_RATE, UNIT = 8000, 16000, 64
+RATE, TARGET_RATE, UNIT, PORTION = 8000, 16000, 64, 1 << 22
 CODECS = {"alaw": ALAW, "mulaw": MULAW, "ima_adpcm": IMA_ADPCM}
 
 # Fixed values of the IMA ADPCM standard.
@@ -170,11 +170,12 @@ def store_media(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", c
     def run(batches):
         for batch in batches:
             body, at = text_parts(batch.column(1))
-            raw, media = body.tobytes(), []
-            for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
-                size = max(1, -(-(j - i) // UNIT)) * UNIT
-                media.append(wav_header(tag, size) + raw[i:j] + bytes(size - (j - i)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), pa.array(media, pa.binary())], names=[f.name for f in schema])
+            for i, j in slices(at, PORTION):
+                raw, base, media = body[at[i] : at[j]].tobytes(), int(at[i]), []
+                for a, b in zip((at[i:j] - base).tolist(), (at[i + 1 : j + 1] - base).tolist()):
+                    size = max(1, -(-(b - a) // UNIT)) * UNIT
+                    media.append(wav_header(tag, size) + raw[a:b] + bytes(size - (b - a)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(at[i : j + 1])), pa.array(media, pa.binary())], names=[f.name for f in schema])
 
     return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
