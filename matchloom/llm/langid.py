@@ -138,8 +138,8 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     Rows without text, language or id teach nothing. None if no row is left.
     """
     known = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("hashed")).withColumn("part", F.pmod("hashed", F.lit(64)))
-    for keys in (["lang", "part"], ["lang"]):  # a language's first are among the first of its 64 parts, so no task sees all of a language
+    chosen = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("hashed")).withColumn("part", F.pmod("hashed", F.lit(8)))
+    for keys in (["lang", "part"], ["lang"]):  # a language's first are among the first of its 8 parts, so no task sees all of a language
         chosen = chosen.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("hashed", "id"))).where(F.col("n") <= per_lang)
     chosen = chosen.orderBy("n", "lang").limit(most).select(F.col("id").alias("chosen")).distinct()
     text = F.col("text")
