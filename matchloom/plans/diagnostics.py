@@ -16,6 +16,7 @@ from ..functions import columns as fc
 from ..functions.similarity import pair_scores
 from ..operators import blocking, decide, drift, errors, evaluate, features, keys, model, retrieval, sampling
 from ..operators.blocking import BlockingConfig
+from ..sources import tables
 
 GATES = {"candidates": 20, "rejected": 10, "rejected_share": 0.05, "hard_negatives": 10}
 STRONG = {"jaccard": 0.5, "jw": 0.9, "token_sort": 0.85, "overlap": 2}
@@ -33,7 +34,8 @@ def universe_of(s1: DataFrame) -> DataFrame:
 
 
 def candidate_quality(cands: DataFrame, truth: DataFrame, s1: DataFrame) -> DataFrame:
-    """One row: recall and candidate counts."""
+    """One row: recall and candidate counts. The candidates are written first, as they are read three times."""
+    cands = tables.cut(cands.select("s1_id", "cand_id"), "candidates")
     return evaluate.blocking_recall(cands, truth).drop("mean_candidates").crossJoin(evaluate.candidate_stats(cands, universe_of(s1)))
 
 
@@ -63,7 +65,7 @@ def ablation(s1: DataFrame, others: DataFrame, truth: DataFrame, variants: dict[
 
 def partition_equality(s1: DataFrame, others: DataFrame, counts: tuple[int, ...] = (1, 4, 16), config: BlockingConfig = BlockingConfig()) -> DataFrame:
     """Whether candidates are the same however the input is dealt: differences against the first count."""
-    made = {str(n): blocking.generate_candidates(s1.repartition(n), others.repartition(n), config) for n in counts}
+    made = {str(n): tables.cut(blocking.generate_candidates(s1.repartition(n), others.repartition(n), config), f"dealt{n}") for n in counts}
     first = made.pop(str(counts[0]))
     found = stack({n: retrieval.candidate_set_diff(first, df) for n, df in made.items()}, "partitions")
     return found.withColumn("status", F.when(F.col("exact_equal"), "PASS").when(F.col("missing") + F.col("extra") <= 10, "INVESTIGATE").otherwise("FAIL"))
