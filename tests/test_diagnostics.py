@@ -7,7 +7,7 @@ from matchloom.functions.normalize import normalize_frame
 from matchloom.operators.blocking import BlockingConfig
 from matchloom.operators import blocking
 from matchloom.plans import diagnostics as dg
-from matchloom.sources.tables import RECORD
+from matchloom.sources.tables import RECORD, cut
 from matchloom.streaming.scoring import block_arriving
 
 from .test_end_to_end import records
@@ -33,7 +33,7 @@ def test_ablation_and_equality(small):
 
 def test_misses(small):
     a, b, truth = small
-    cands = blocking.generate_candidates(a, b, FEW)
+    cands = cut(blocking.generate_candidates(a, b, FEW), "cands")
     half = cands.where(F.crc32(F.col("cand_id").cast("binary")) % 2 == 0)
     misses = dg.clean_misses(truth, half, a, b)
     q, x = blocking.grouped(a, True), blocking.grouped(b, True)
