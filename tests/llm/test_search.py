@@ -115,6 +115,16 @@ def test_passages(spark, odd, none):
     assert all(r.doc_id is not None for r in chains.shared_passages(odd).collect())
 
 
+def test_passage_in_the_gap_of_another_chain(spark):
+    head, middle, foot, moved = prose(901, 100), prose(902, 70), prose(903, 100), prose(904, 70)
+    rows = [(1, head + prose(1, 200) + foot + moved), (2, prose(2, 90) + middle + prose(3, 90)), (3, head + prose(4, 30) + middle + prose(5, 20) + moved + prose(6, 10) + foot)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = [r for r in chains.shared_passages(docs).collect() if r.doc_id == 3]
+    for other, start, end in ((1, 0, 100), (2, 130, 200), (1, 220, 290), (1, 300, 400)):
+        assert any(r.other_id == other and abs(r.start_word - start) <= 3 and abs(r.end_word - end) <= 3 for r in got)
+    assert chains.without_repeats(docs).where("doc_id = 3").first().text.split() == rows[2][1][100:130] + rows[2][1][200:220] + rows[2][1][290:300]
+
+
 def test_chain_is_best(spark):
     rnd = random.Random(8)
 
