@@ -125,6 +125,27 @@ def test_passage_in_the_gap_of_another_chain(spark):
     assert chains.without_repeats(docs).where("doc_id = 3").first().text.split() == rows[2][1][100:130] + rows[2][1][200:220] + rows[2][1][290:300]
 
 
+def test_run_whose_parts_others_have(spark):
+    rows = []
+    for g in range(0, 8000, 1000):
+        whole = prose(910 + g, 60)
+        for i, part in ((1, whole[:30]), (2, whole[30:]), (100, whole), (200, whole), (901, whole[:30]), (902, whole[30:])):
+            rows.append((g + i, prose(g + i, 40) + part + prose(g + i + 500, 40)))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = {(r.doc_id, r.other_id): r for r in chains.shared_passages(docs).collect()}
+    assert set(got) == {(g + a, g + b) for g in range(0, 8000, 1000) for a, b in ((100, 200), (200, 100))}
+    assert all(abs(r.start_word - 40) <= 3 and abs(r.end_word - 100) <= 3 for r in got.values())
+
+
+def test_long_seeds_hold_every_run(spark):
+    texts = [" ".join(prose(1, n)) for n in (0, 1, 49, 50, 51, 400)]
+    got = chains.long_seeds(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
+    found = sorted((r.doc, r.low + i, run) for r in got for i, run in enumerate(r.runs))
+    assert [x[:2] for x in found] == [(d, p) for d, t in enumerate(texts) for p in range(len(t.split()) - 49)]
+    assert all(len({run for _, q, run in found if q == p}) == 1 for p in range(351)) and len({run for *_, run in found}) == 351
+    assert all(r.low <= r.pos and r.pos + 25 <= r.low + len(r.runs) - 1 + 50 for r in got)
+
+
 def test_chain_is_best(spark):
     rnd = random.Random(8)
 
