@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as fc
@@ -301,6 +301,11 @@ def bk9_scheme_keys(biz):
 
 # Text functions.
 
+def whole() -> Column:
+    """A document's whole text in lower case, as its line is; null counts as empty."""
+    return F.lower(F.coalesce("text", F.lit("")))
+
+
 def text_query(name: str, source: str, id_col: str, column, sql: str):
     """A query of one expression over a view."""
 
@@ -361,18 +366,39 @@ def tx5_tokenize(doc):
 
 @query("doc")
 def tx4_join_single_letters(doc):
-    spaced = F.array_join(F.transform(F.split(F.substring("line", 1, 12), ""), lambda c: c), " ")
-    return doc.select("doc_id", F.array_join(fc.join_single_letters(fc.words(spaced)), " ").alias("out"))
+    return doc.select("doc_id", F.array_join(fc.join_single_letters(fc.words(fc.collapse_spaces(whole()))), " ").alias("out"))
 
 
 @query("doc")
 def tx6_normalize_text(doc):
-    return doc.select("doc_id", nz.text_function(nz.normalize_text)("line").alias("out"))
+    return doc.select("doc_id", nz.text_function(nz.normalize_text)(whole()).alias("out"))
 
 
 @query("doc")
 def tx1_transliterate(doc):
-    return doc.select("doc_id", nz.text_function(nz.transliterate)("line").alias("out"))
+    return doc.select("doc_id", nz.text_function(nz.transliterate)(whole()).alias("out"))
+
+
+# The queries above that have SQL are held to it on first lines; these are the same functions over whole texts, which no SQL follows.
+
+@query("doc")
+def tx2_fold_text(doc):
+    return doc.select("doc_id", nz.text_function(nz.fold)(whole()).alias("out"))
+
+
+@query("doc")
+def tx5_tokenize_text(doc):
+    return doc.select("doc_id", nz.text_function(lambda text: " ".join(nz.tokenize(text)))(whole()).alias("out"))
+
+
+@query("doc")
+def tx7_strip_junk_text(doc):
+    return doc.select("doc_id", nz.text_function(nz.strip_junk)(F.concat(F.lit("#-- "), whole(), F.lit(" >>"))).alias("out"))
+
+
+@query("doc")
+def vs1_char_grams_text(doc):
+    return doc.select("doc_id", F.explode(retrieval.char_grams(whole())).alias("gram")).groupBy("doc_id", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
 @query("biz")
@@ -685,6 +711,12 @@ def io20_validate_lists(idtext, universe, biz):
     return found.withColumn("examples", F.array_join("examples", ";"))
 
 
+@query("idtext", "universe", "biz")
+def io20_validate_lists_all(idtext, universe, biz):
+    found = tables.validate_lists(idtext.select("s1_id", "ids"), universe.select("s1_id"), _valid(biz))
+    return found.withColumn("examples", F.array_join("examples", ";"))
+
+
 @query("idtext", sql=f"SELECT s1_id, unnest({_PARSED}) AS cand_id FROM {{idtext}}")
 def io21_truth_pairs(idtext):
     return tables.truth_pairs(idtext.select(F.col("s1_id").alias("source1_entity_id"), F.col("ids").alias("matched_entity_ids")))[0]
