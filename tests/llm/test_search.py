@@ -146,6 +146,16 @@ def test_long_seeds_hold_every_run(spark):
     assert all(r.low <= r.pos and r.pos + 25 <= r.low + len(r.runs) - 1 + 50 for r in got)
 
 
+def test_passages_with_one_seed_in_common(spark):
+    rows = []
+    for g in range(0, 80, 2):  # words 24 to 35 are equal, of the others every sixth isn't
+        own = prose(920 + g, 60)
+        other = [f"{w}x" if k % 6 == 0 and not 24 <= k < 36 else w for k, w in enumerate(own)]
+        rows += [(g, prose(g, 40) + own + prose(g + 500, 40)), (g + 1, prose(g + 1, 40) + other + prose(g + 501, 40))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    assert len({r.doc_id for r in chains.shared_passages(docs).collect()}) == 80
+
+
 def test_chain_is_best(spark):
     rnd = random.Random(8)
 
