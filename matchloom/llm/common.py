@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +17,8 @@ def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one is set only where the session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="matchloom-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
@@ -70,3 +75,42 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+#: What a worker process keeps between tasks, by the name of the kernel that uses it; one at a time.
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """The worker's own table of that name. Those of other kernels go first, so memory is bounded by the largest of them."""
+    if name not in _KEPT:
+        forget()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def forget(but: str | None = None) -> None:
+    if any(name != but for name in _KEPT):
+        _KEPT.clear()
+        gc.collect()
+        release()
+
+
+def release() -> None:
+    """Gives unused memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(run: Callable, name: str | None = None) -> Callable:
+    """The kernel, which drops what other kernels have kept in its worker when it starts, and gives free memory back when it ends."""
+
+    def wrapped(batches):
+        forget(name)
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped

@@ -62,3 +62,11 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         out = out * np.uint64(0x2545F4914F6CDD1D) + words[k : len(words) - n + 1 + k]
     return mix(out)
+
+
+def spans_hashed(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words from each start to each end, equal for equal words."""
+    power, back = _powers(max(len(words), 1))
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[: len(words)], out=total[1:])
+    return mix((total[end] - total[start]) * back[start] ^ (end - start).astype(np.uint64) * _PRIME)

@@ -106,7 +106,7 @@ def test_passages(spark, odd, none):
     for r in got:
         a, b = places[r.doc_id]
         assert r.other_id in places and r.other_id != r.doc_id and r.identity >= 0.8
-        assert a - 3 <= r.start_word <= a + 20 and b - 20 <= r.end_word <= b + 3
+        assert a - 3 <= r.start_word <= a + 20 and b - 20 <= r.end_word <= b + 3 and (r.class_id, r.class_docs) == (0, len(places))
     cut = {r.doc_id: r for r in chains.without_repeats(docs, n_chars_col="n_chars").collect()}
     for i, text, *_ in rows:
         assert cut[i].n_chars == len(cut[i].text)
@@ -137,13 +137,98 @@ def test_run_whose_parts_others_have(spark):
     assert all(abs(r.start_word - 40) <= 3 and abs(r.end_word - 100) <= 3 for r in got.values())
 
 
-def test_long_seeds_hold_every_run(spark):
-    texts = [" ".join(prose(1, n)) for n in (0, 1, 49, 50, 51, 400)]
-    got = chains.long_seeds(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
-    found = sorted((r.doc, r.low + i, run) for r in got for i, run in enumerate(r.runs))
-    assert [x[:2] for x in found] == [(d, p) for d, t in enumerate(texts) for p in range(len(t.split()) - 49)]
-    assert all(len({run for _, q, run in found if q == p}) == 1 for p in range(351)) and len({run for *_, run in found}) == 351
-    assert all(r.low <= r.pos and r.pos + 25 <= r.low + len(r.runs) - 1 + 50 for r in got)
+def test_runs_of_fifty_against_brute_force(spark):
+    """Documents made of pieces that others have too: those with a run of 50 equal words in common are in one class."""
+    rnd, rows = random.Random(12), []
+    pieces = [prose(2000 + k, n) for k, n in enumerate([10, 20, 30, 49, 50, 51, 60, 75, 120, 25, 25, 35])]
+    for i in range(150):
+        words = []
+        for _ in range(rnd.randint(1, 6)):
+            words += rnd.choice(pieces) if rnd.random() < 0.6 else prose(5000 + rnd.randrange(10**6), rnd.randint(1, 40))
+        rows.append((i, " ".join(words)))
+    runs = {}
+    for i, text in rows:
+        words = text.split()
+        for k in range(len(words) - 49):
+            runs.setdefault(" ".join(words[k : k + 50]), set()).add((i, k))
+    got, classes = chains.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect(), {}
+    for r in got:
+        classes.setdefault((r.class_id, r.class_start), set()).add((r.doc_id, r.start_word, r.end_word))
+        assert r.doc_id != r.other_id and r.identity >= 0.8 and r.end_word - r.start_word >= 50
+    for places in runs.values():
+        if len({i for i, _ in places}) > 1:
+            assert any(all(any(d == i and a <= k + 10 and b >= k + 40 for d, a, b in own) for i, k in places) for own in classes.values())
+    assert all(r.class_docs == len({d for d, *_ in classes[r.class_id, r.class_start]}) for r in got)
+
+
+def test_copies_are_one_class(spark):
+    shared = prose(900, 80)
+    rows = [(i, " ".join(prose(i, 100) + shared + prose(100 + i, 100))) for i in range(30)]
+    got = chains.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.class_id, r.class_docs) for r in got} == {(i, 0, 30) for i in range(30)}
+    assert len({(min(r.doc_id, r.other_id), max(r.doc_id, r.other_id)) for r in got}) < 8 * 30
+
+
+@pytest.mark.parametrize("edits", [0.05, 0.1, 0.15, 0.2])
+def test_recall_of_edited_passages(spark, edits):
+    """Passages of 200 words in an original and a copy with so many words replaced."""
+    rnd, rows, n = random.Random(int(100 * edits)), [], 60
+    for g in range(n):
+        own = prose(3000 + g, 200)
+        other = list(own)
+        for k in rnd.sample(range(200), int(200 * edits)):
+            other[k] = f"edit{rnd.randrange(10**6)}"
+        rows += [(2 * g, " ".join(prose(g, 50) + own + prose(g + 500, 50))), (2 * g + 1, " ".join(prose(g + 1000, 50) + other + prose(g + 1500, 50)))]
+    covered = {}
+    for r in chains.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.doc_id // 2 == r.other_id // 2
+        covered.setdefault(r.doc_id, set()).update(range(max(r.start_word, 50), min(r.end_word, 250)))
+    assert sum(map(len, covered.values())) >= 0.9 * 200 * 2 * n
+
+
+def test_best_stretches_against_brute_force():
+    rnd = np.random.default_rng(6)
+    for _ in range(150):
+        n = int(rnd.integers(0, 90))
+        kind = rnd.random(n)
+        share = rnd.uniform(0.6, 1)
+        columns = np.stack((kind > 0.03, kind < 0.97, rnd.random(n) < share), 1)
+        columns[:, 2] &= columns[:, 0] & columns[:, 1]
+        score = np.where(columns[:, 2], 1, -chains.PENALTY)
+        best = max((int(columns[s:e, 0].sum()) for s in range(n) for e in range(s + 2, n + 1) if score[s:e].sum() >= 0 and columns[s : s + 2, 2].all() and columns[e - 2 : e, 2].all()), default=0)
+        pad = np.zeros((7, 3), bool)
+        who, start, end = chains.stretches(np.concatenate((pad, columns, pad)), np.array([0, 7, 7 + n]), np.array([7, 7 + n, 14 + n]), 20)
+        assert set(who.tolist()) <= {1} and bool(len(who)) == (best >= 20)
+        if len(who):
+            assert columns[start[0] - 7 : end[0] - 7, 0].sum() == best and all(score[a - 7 : b - 7].sum() >= 0 for a, b in zip(start, end))
+            spans = sorted(zip(start.tolist(), end.tolist()))
+            assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_edit_path_has_fewest_edits():
+    rnd = np.random.default_rng(2)
+    for _ in range(200):
+        x, y = (rnd.integers(0, 4, int(rnd.integers(0, 9))).astype(np.int32) for _ in range(2))
+        found = chains._edit_path(x, y)
+        table = {(i, j): i + j for i in range(len(x) + 1) for j in range(len(y) + 1) if not i * j}
+        for i in range(1, len(x) + 1):
+            for j in range(1, len(y) + 1):
+                table[i, j] = min(table[i - 1, j] + 1, table[i, j - 1] + 1, table[i - 1, j - 1] + (x[i - 1] != y[j - 1]))
+        assert (~found[:, 2]).sum() == table[len(x), len(y)] and found[:, 0].sum() == len(x) and found[:, 1].sum() == len(y)
+
+
+def test_cutting_goes_by_what_stays(spark):
+    first = prose(950, 200)
+    second = [f"second{k}" if k % 8 == 3 else w for k, w in enumerate(first)]
+    third = [f"third{k}" if k % 8 == 7 else w for k, w in enumerate(second)]  # 7 of 8 words as in the second, 3 of 4 as in the first
+    docs = spark.createDataFrame([(i, " ".join(w), "clash", 7) for i, w in enumerate((first, second, third))], "doc_id long, text string, cut_spans string, c0 int")
+    got = {r.doc_id: r for r in chains.without_repeats(docs).collect()}
+    assert got[0].text.split() == first and {r.cut_spans for r in got.values()} == {"clash"}
+    assert len(got[1].text.split()) < 20 and got[2].text.split() == third
+    again = spark.createDataFrame([(1, " ".join(first)), (1, " ".join(first)), (1, " ".join(prose(952, 30) + first)), (2, None), (None, " ".join(first)), (3, "")], "doc_id long, text string")
+    rows = sorted(((r.doc_id, r.text) for r in chains.without_repeats(again).collect()), key=str)
+    assert len(rows) == 6 and (None, " ".join(first)) in rows and (2, None) in rows and (3, "") in rows
+    assert sum(" ".join(first) in (t or "") for i, t in rows if i == 1) in (1, 2)
 
 
 def test_passages_with_one_seed_in_common(spark):
