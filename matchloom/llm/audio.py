@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_parts
+from .common import lean, ragged, slices, text_parts
 
 PCM, ALAW, MULAW, IMA_ADPCM = 1, 6, 7, 17
 RATE, TARGET_RATE, UNIT, PORTION = 8000, 16000, 64, 1 << 22
@@ -79,16 +79,18 @@ def decode_adpcm(blocks: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
-def double_rate(samples: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Samples of recordings, one after another, at twice the rate: the mean of neighbours goes between them."""
-    out = np.empty((len(samples), 2), np.int16)
-    out[:, 0] = samples
-    if len(samples):
-        after = np.append(samples[1:], samples[-1:]).astype(np.int32)
-        ends = offsets[1:][offsets[1:] > offsets[:-1]] - 1
-        after[ends] = samples[ends]
-        out[:, 1] = (samples + after) >> 1
-    return out.reshape(-1)
+def resample(samples: np.ndarray, offsets: np.ndarray, rate: int = RATE, target: int = TARGET_RATE) -> tuple[np.ndarray, np.ndarray]:
+    """Recordings, one after another, at another rate by linear interpolation in whole numbers: samples and offsets. A recording's last sample holds to its end."""
+    sizes = np.diff(offsets)
+    wanted = -(-sizes * target // rate)
+    ends = np.concatenate(([0], np.cumsum(wanted)))
+    if rate == target or not len(samples):
+        return samples, offsets
+    place = ragged(np.zeros(len(sizes), np.int64), wanted) * rate
+    at, part = place // target + np.repeat(offsets[:-1], wanted), place % target
+    after = np.minimum(at + 1, np.repeat(offsets[1:] - 1, wanted))
+    low = samples[at].astype(np.int64)
+    return (low + (samples[after] - low) * part // target).astype(np.int16), ends
 
 
 def wav_header(codec: int, n_bytes: int, rate: int = RATE, unit: int = UNIT) -> bytes:
@@ -132,39 +134,43 @@ def to_pcm(media: bytes) -> tuple[np.ndarray, int]:
 
 
 def decode_media(df: DataFrame, media_col: str = "media", id_col: str = "doc_id") -> DataFrame:
-    """Decoded and resampled recordings: id, codec, sample_rate, n_samples, pcm (16-bit little-endian at 16 kHz).
+    """Decoded and resampled recordings: id, codec, sample_rate, n_samples, pcm (16-bit little-endian at 16 kHz, from any rate).
 
     A null or unreadable recording keeps its row with null results. Other columns, whatever their
-    names, are not carried. Recordings at 8 kHz are doubled in rate; at 16 kHz they stay.
+    names, are not carried.
     """
     schema = df.select(F.col(id_col).alias(id_col)).schema.add("codec", "integer").add("sample_rate", "integer").add("n_samples", "long").add("pcm", "binary")
 
     def run(batches):
         for batch in batches:
-            out = []
-            for media in batch.column(1).to_pylist():
-                try:
-                    pcm, rate = to_pcm(media or b"")
-                    if rate not in (RATE, TARGET_RATE):
-                        raise ValueError(rate)
-                    if rate == RATE:
-                        pcm = double_rate(pcm, np.array([0, len(pcm)]))
-                    out.append((read_wav(media)[0], TARGET_RATE, len(pcm), pcm.tobytes()))
-                except (ValueError, KeyError, struct.error):
-                    out.append((None, None, None, None))
-            cols = list(zip(*out)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.int64(), pa.binary())))], names=[f.name for f in schema])
-
-    return df.select(F.col(id_col), F.col(media_col).cast("binary")).mapInArrow(run, schema)
-
-
-def store_media(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", codec: str = "mulaw") -> DataFrame:
+            media, at = text_parts(batch.column(1))
+            for i, j in slices(at, 1 << 20):
+                out = []
+                for a, b in zip(at[i:j].tolist(), at[i + 1 : j + 1].tolist()):
+                    found = decoded(media[a:b].tobytes())
+                    out.append((found[0], TARGET_RATE, len(found[1]), found[1].tobytes()) if found else (None, None, None, None))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.binary())))], names=[f.name for f in schema])
+
+    return df.select(F.col(id_col), F.col(media_col).cast("binary")).mapInArrow(lean(run), schema)
+
+
+def decoded(media: bytes) -> tuple[int, np.ndarray] | None:
+    """Codec and samples at 16 kHz of a WAVE file; None if it can't be read."""
+    try:
+        pcm, rate = to_pcm(media)
+        return read_wav(media)[0], resample(pcm, np.array([0, len(pcm)]), rate)[0]
+    except (ValueError, KeyError, ZeroDivisionError, struct.error):
+        return None
+
+
+def store_media(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", codec: str = "mixed") -> DataFrame:
     """Whole texts as recordings: id, n_bytes (UTF-8, unpadded), media (WAVE whose data is the text padded with zero bytes).
 
-    The data chunk has a positive multiple of 64 bytes, so a null or empty text gives 64 zero bytes.
-    Equal texts give equal media; repeated rows stay. Other columns are not carried.
+    The data chunk has a positive multiple of 64 bytes, mu-law or A-law samples or IMA ADPCM blocks, so a null or empty
+    text gives 64 zero bytes. The codec "mixed" takes one of the three by the data's CRC-32. Equal texts give equal
+    media; repeated rows stay. Other columns are not carried.
     """
-    tag = CODECS[codec]
+    tags = [CODECS[codec]] if codec != "mixed" else list(CODECS.values())
     schema = df.select(F.col(id_col)).schema.add("n_bytes", "long").add("media", "binary")
 
     def run(batches):
@@ -174,48 +180,74 @@ def store_media(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", c
                 raw, base, media = body[at[i] : at[j]].tobytes(), int(at[i]), []
                 for a, b in zip((at[i:j] - base).tolist(), (at[i + 1 : j + 1] - base).tolist()):
                     size = max(1, -(-(b - a) // UNIT)) * UNIT
-                    media.append(wav_header(tag, size) + raw[a:b] + bytes(size - (b - a)))
+                    data = raw[a:b] + bytes(size - (b - a))
+                    media.append(wav_header(tags[zlib.crc32(data) % len(tags)], size) + data)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(at[i : j + 1])), pa.array(media, pa.binary())], names=[f.name for f in schema])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(lean(run), schema)
 
 
-def media_features(df: DataFrame, id_col: str = "doc_id", most: int = 1 << 21) -> DataFrame:
-    """What the stored recordings of store_media hold, from their bytes alone.
+def media_features(df: DataFrame, id_col: str = "doc_id", most: int = 1 << 20) -> DataFrame:
+    """What stored recordings hold, from their bytes alone, and their resampled PCM.
 
-    Returns id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
-    The feature names the codec and has, for the recording at 16 kHz and for its 64-byte units read as
-    IMA ADPCM blocks, the number of samples, the peak, the sum of absolute samples and a CRC-32.
-    Recordings are decoded in groups of about `most` bytes; a longer one is decoded alone.
+    Returns id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, pcm (16-bit
+    little-endian at 16 kHz). The feature names the codec and has the number of samples at 16 kHz, the peak, the sum of absolute
+    samples and a CRC-32 of the PCM. A recording that is no WAVE file in a known codec keeps its row: null payload, feature
+    and pcm, and for a null one null media_bytes and media_sha256 too. Rows keep their number. Telephony recordings at 8 kHz
+    are decoded in groups of about `most` bytes, a longer one alone; ADPCM blocks of a group are decoded together.
     """
     schema = df.select(F.col(id_col)).schema
-    for name, kind in (("n_bytes", "long"), ("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"), ("feature", "string")):
+    for name, kind in (("n_bytes", "long"), ("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"), ("feature", "string"), ("pcm", "binary")):
         schema = schema.add(name, kind)
-
-    def told(samples: np.ndarray, cuts: np.ndarray) -> list[str]:
-        size = np.abs(samples.astype(np.int32))
-        peaks, sums = np.maximum.reduceat(size, cuts[:-1]), np.add.reduceat(size, cuts[:-1], dtype=np.int64)
-        view = memoryview(samples).cast("B")
-        return [f"{b - a},{p},{s},{zlib.crc32(view[2 * a : 2 * b]):08x}" for a, b, p, s in zip(cuts[:-1].tolist(), cuts[1:].tolist(), peaks.tolist(), sums.tolist())]
+    names = {v: k for k, v in CODECS.items()} | {PCM: "pcm"}
+
+    def all_pcm(whole: list[memoryview], read: list) -> list[np.ndarray | None]:
+        """Samples at 16 kHz of each recording; those of one codec are decoded together if they are as store_media writes them."""
+        out: list[np.ndarray | None] = [None] * len(read)
+        for codec in CODECS.values():
+            own = [k for k, r in enumerate(read) if r and r[0] == codec and r[1] == RATE and len(r[3]) and len(r[3]) % UNIT == 0 and (codec != IMA_ADPCM or r[2] == UNIT)]
+            if not own:
+                continue
+            data = np.concatenate([np.frombuffer(read[k][3], np.uint8) for k in own])
+            sizes = np.array([len(read[k][3]) for k in own])
+            if codec == IMA_ADPCM:
+                blocks = decode_adpcm(data.reshape(-1, UNIT))
+                samples, sizes = blocks.reshape(-1), sizes // UNIT * blocks.shape[1]
+            else:
+                samples = {MULAW: MULAW_TABLE, ALAW: ALAW_TABLE}[codec].take(data)
+            samples, cuts = resample(samples, np.concatenate(([0], np.cumsum(sizes))))
+            for k, a, b in zip(own, cuts[:-1].tolist(), cuts[1:].tolist()):
+                out[k] = samples[a:b]
+        for k, r in enumerate(read):
+            if r and out[k] is None and (found := decoded(bytes(whole[k]))):
+                out[k] = found[1]
+        return out
+
+    def told(media: memoryview | None, read, pcm: np.ndarray | None) -> tuple:
+        if media is None:
+            return (None,) * 7
+        own = len(media), hashlib.sha256(media).hexdigest()
+        if pcm is None:
+            return (None, None, None, *own, None, None)
+        body, size = read[3], np.abs(pcm.astype(np.int32))
+        feature = f"{names[read[0]]}@{TARGET_RATE}:{len(pcm)},{int(size.max(initial=0))},{int(size.sum(dtype=np.int64))},{zlib.crc32(pcm):08x}"
+        return len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-UNIT:]), *own, feature, pcm.tobytes()
+
+    def wav(media: memoryview | None):
+        try:
+            return read_wav(media) if media is not None else None
+        except (ValueError, struct.error):
+            return None
 
     def run(batches):
         for batch in batches:
             media, at = text_parts(batch.column(2))
+            nulls = batch.column(2).is_null().to_pylist()
             for i, j in slices(at, most):
-                whole = [memoryview(media)[a:b] for a, b in zip(at[i:j].tolist(), at[i + 1 : j + 1].tolist())]
-                read = [read_wav(x) for x in whole]
-                bodies = [np.frombuffer(x[3], np.uint8) for x in read]
-                names = [{MULAW: "mulaw", ALAW: "alaw", IMA_ADPCM: "ima_adpcm"}[x[0]] for x in read]
-                cuts, data = np.concatenate(([0], np.cumsum([len(x) for x in bodies]))), np.concatenate(bodies)
-                law = np.concatenate([(ALAW_TABLE if x[0] == ALAW else MULAW_TABLE).take(b) for x, b in zip(read, bodies)])
-                blocks = decode_adpcm(data.reshape(-1, UNIT))
-                wide, coded = told(double_rate(law, cuts), 2 * cuts), told(blocks.reshape(-1), cuts // UNIT * blocks.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array([len(x) for x in bodies], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in bodies]), pa.array([zlib.crc32(x[-UNIT:]) for x in bodies], pa.int64()),
-                        pa.array([len(x) for x in whole], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in whole]), pa.array([f"{n}@{TARGET_RATE}:{a};ima_adpcm@{RATE}:{b}" for n, a, b in zip(names, wide, coded)]),
-                    ],
-                    names=[f.name for f in schema],
-                )
-
-    return df.select(F.col(id_col), F.col("n_bytes"), F.col("media")).mapInArrow(run, schema)
+                whole = [None if n else memoryview(media)[a:b] for n, a, b in zip(nulls[i:j], at[i:j].tolist(), at[i + 1 : j + 1].tolist())]
+                read = [wav(x) for x in whole]
+                rows = [told(*x) for x in zip(whole, read, all_pcm(whole, read))]
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), *(pa.array(c, t) for c, t in zip(zip(*rows), kinds))], names=[f.name for f in schema])
+
+    return df.select(F.col(id_col), F.col("n_bytes"), F.col("media")).mapInArrow(lean(run), schema)

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 SHARD, BLOCK, LEAF = 8192, 4096, 128
-EXACT = float(1 << 53)
 NO_SCORE, NO_ID = -(1 << 63), (1 << 63) - 1
 RESULT = "query_id long, vec_id long, score long"
 
@@ -58,7 +57,7 @@ def search(tree: BallTree, queries: np.ndarray, query_ids: np.ndarray, k: int, s
 
     def bound(n: int, who: np.ndarray) -> np.ndarray:
         value = queries[who] @ tree.nodes[n][0] + norm[who] * tree.nodes[n][1]
-        return np.floor(value + 1e-6 * (1 + np.abs(value)))
+        return unbounded(np.floor(value + 1e-6 * (1 + np.abs(value))))
 
     def useful(n: int, who: np.ndarray, value: np.ndarray) -> np.ndarray:
         return (value > score[who]) | (value == score[who]) & (tree.nodes[n][2] <= vec[who])
@@ -80,16 +79,16 @@ def search(tree: BallTree, queries: np.ndarray, query_ids: np.ndarray, k: int, s
             for c in children:
                 push(c, who)
             continue
-        ids, got = tree.ids[start:end], np.rint(queries[who] @ tree.rows[start:end].T).astype(np.int64)
-        beats = (got > score[who][:, None]) | (got == score[who][:, None]) & (ids[None, :] <= vec[who][:, None])
-        beats &= ids[None, :] != query_ids[who][:, None]
-        i, j = np.nonzero(beats)
+        ids, other = tree.ids[start:end], tree.ids[start:end][None, :] != query_ids[who][:, None]
+        i, j, got = inner(queries[who], tree.rows[start:end], lambda found: (found >= score[who][:, None]) & other)
+        use = (got > score[who][i]) | (got == score[who][i]) & (ids[j] <= vec[who][i])
+        i, j, got = i[use], j[use], got[use]
         if not len(i):
             continue
         touched = np.zeros(len(queries), bool)
         touched[who[i]] = True
         old = touched[found[0]]
-        q, v, s = (np.concatenate((f[old], x)) for f, x in zip(found, (who[i], ids[j], got[i, j])))
+        q, v, s = (np.concatenate((f[old], x)) for f, x in zip(found, (who[i], ids[j], got)))
         order = np.lexsort((v, -s, q))
         q, v, s = q[order], v[order], s[order]
         first = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
@@ -107,19 +106,34 @@ def _matrix(table: pa.Table, name: str, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(table.num_rows, dims)
 
 
-def _exhaust(rows, ids, queries, query_ids, k):
-    """For components so large that doubles can't hold the products: whole numbers of any size, results limited to long."""
-    for q, name in zip(queries, query_ids):
-        whole, out = [int(x) for x in q], []
-        for r, v in zip(rows, ids):
-            if v != name:
-                out.append((-sum(a * int(b) for a, b in zip(whole, r)), int(v)))
-        for s, v in sorted(out)[:k]:
-            yield int(name), v, max(-(1 << 63), min((1 << 63) - 1, -s))
+def unbounded(value: np.ndarray) -> np.ndarray:
+    """Upper bounds of scores, which are limited to long; one that is no number, as of infinite terms, bounds nothing."""
+    return np.where(np.isnan(value), np.inf, np.maximum(value, float(NO_SCORE)))
+
+
+def inner(queries: np.ndarray, rows: np.ndarray, beats) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (query, row) that may beat their query's kth score, and their inner products, limited to long.
+
+    beats takes a matrix of scores and returns which pairs do. Where doubles may be off by a half, pairs that beat
+    by the most that they could be are worked out in whole numbers of any size; others are rounded.
+    """
+    got = queries @ rows.T
+    slack = queries.shape[1] * np.finfo(float).eps * np.sqrt((queries**2).sum(axis=1))[:, None] * np.sqrt((rows**2).sum(axis=1))[None, :]
+    sure = slack < 0.5
+    i, j = np.nonzero(beats(np.where(sure, np.rint(got), unbounded(got + slack) + 1)))
+    scores = np.rint(np.where(sure, got, 0)[i, j]).astype(np.int64)
+    for n in np.flatnonzero(~sure[i, j]).tolist():
+        exact = sum(int(a) * int(b) for a, b in zip(queries[i[n]], rows[j[n]]))
+        scores[n] = max(NO_SCORE, min(NO_ID, exact))
+    return i, j, scores
 
 
 def _shard(k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        with np.errstate(over="ignore", invalid="ignore"):
+            return visit(left, right)
+
+    def visit(left: pa.Table, right: pa.Table) -> pa.Table:
         names = [f.split()[0] for f in RESULT.split(", ")]
         kinds = [pa.int64()] * 3
         if not left.num_rows or not right.num_rows:
@@ -127,9 +141,6 @@ def _shard(k: int):
         dims = left.column("dims")[0].as_py()
         rows, ids = _matrix(left, "vec", dims), left.column("vec_id").to_numpy()
         queries, query_ids = _matrix(right, "vec", dims), right.column("query_id").to_numpy()
-        if dims and np.abs(rows).max() * np.abs(queries).max() * dims >= EXACT:
-            out = list(zip(*_exhaust(rows, ids, queries, query_ids, k))) or [(), (), ()]
-            return pa.table([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
         q, v, s = search(BallTree(rows, ids), queries, query_ids, k, right.column("kth_score").to_numpy(), right.column("kth_vec").to_numpy())
         return pa.table([pa.array(query_ids[q]), pa.array(v), pa.array(s)], names=names)
 
@@ -141,14 +152,14 @@ def top_k(df: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: str = "
 
     Candidates are all rows but those with the query's own id, of the query's own length. Ties go to the
     smaller id; a query with fewer candidates has fewer rows, one without any has none. Rows with a null
-    id or vector, or a null or non-finite component, take no part. Repeated rows of a candidate count each.
+    id or vector, or a null or non-finite component (also one whose multiple isn't finite), take no part. Repeated rows of a candidate count each.
     Scores beyond long are limited to it. Tasks hold one shard and one block of queries.
     """
     scratch = Scratch(df.sparkSession, "topk")
     vec = F.col("v")
-    sound = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= 1.7e308))
+    sound = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(scale * x) <= 1.7e308))
     own = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v")).where(F.col("vec_id").isNotNull() & vec.isNotNull() & sound)
-    own = own.select("vec_id", F.transform(vec, lambda x: F.floor(scale * x).cast("double")).alias("vec"), F.size(vec).alias("dims"))
+    own = own.select("vec_id", F.transform(vec, lambda x: F.when(F.abs(scale * x) < float(1 << 53), F.floor(scale * x).cast("double")).otherwise(scale * x)).alias("vec"), F.size(vec).alias("dims"))
     rows = scratch.cut(own.withColumn("is_query", is_query(F.col("vec_id"))), "rows")
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_query").alias("q")).first()
     shards, blocks = max(1, math.ceil(sizes.n / shard)), max(1, math.ceil(sizes.q / block))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, lean
 
 
 def _contract(batches, most: int = 1 << 20):
@@ -44,7 +44,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     Every round is written to the shared folder and the round before it deleted. Edges never come to the
     driver; a hub's edges are joined with its one smallest neighbour, which Spark can split.
     """
-    now = scratch.cut(edges.where("a <> b").select("a", "b").mapInArrow(_contract, "a long, b long").distinct(), "round0")
+    now = scratch.cut(edges.where("a <> b").select("a", "b").mapInArrow(lean(_contract), "a long, b long").distinct(), "round0")
     state, k = None, 0
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))

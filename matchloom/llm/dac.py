@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import end_stops, split_many
-from .common import ragged, slices, text_parts
+from .common import kept, lean, ragged, slices, text_parts
 
 BITS_PER_RANK, PORTION = 512, 1 << 24
+#: Bytes of words that a worker's table holds at most, besides one portion's.
+WORD_BYTES = 1 << 25
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -127,11 +129,13 @@ class _Ids(dict):
 
     def reset(self) -> None:
         self.clear()
+        self.size_of_words = 0
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.first, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
     def __missing__(self, word: bytes) -> int:
         self.new.append(word)
+        self.size_of_words += len(word)
         self[word] = n = len(self)
         return n
 
@@ -174,7 +178,7 @@ class _Ids(dict):
 
     def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words (Arrow strings) together, and the offsets of the words' ids. Only a portion's distinct words are looked up one by one."""
-        if len(self) >= self.most:
+        if len(self) >= self.most or self.size_of_words >= WORD_BYTES:
             self.reset()
         coded = words.dictionary_encode()
         distinct = coded.dictionary.cast(pa.binary()).to_pylist()
@@ -187,9 +191,6 @@ class _Ids(dict):
         return found.flatten().to_numpy(), found.offsets.to_numpy()
 
 
-_KEPT: dict[str, _Ids] = {}
-
-
 def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_col: str = "doc_id", end_id: int = 1, segment_tokens: int = 1 << 20, most: int = 1_500_000) -> DataFrame:
     """Tokenised documents in ascending id order as rows of the file format above; write them as Parquet.
 
@@ -198,10 +199,10 @@ def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_co
     document's ids are never divided. Texts are dealt by ranges of ids and tokenised where they arrive.
     """
     schema = "shard int, segment int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, codes binary"
+    name = f"dac {vocabulary} {most}"
 
     def run(batches):
-        table = _KEPT.setdefault(vocabulary, None) or _Ids(vocabulary, most)
-        _KEPT[vocabulary] = table
+        table = kept(name, lambda: _Ids(vocabulary, most))
         shard, segment, docs, sizes, parts, total = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def row():
@@ -226,14 +227,14 @@ def write_segments(df: DataFrame, vocabulary: str, text_col: str = "text", id_co
             yield row()
 
     dealt = df.select(F.col(id_col).cast("long"), F.col(text_col)).repartitionByRange(F.col(id_col).asc_nulls_first())
-    return dealt.sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first()).mapInArrow(run, schema)
+    return dealt.sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first()).mapInArrow(lean(run, name), schema)
 
 
 def read_segments(segments: DataFrame, id_col: str = "doc_id", keep: bool = False) -> DataFrame:
     """Documents of written segments: id, start (ids of all documents before it), n_tokens, ids_crc32; with keep also ids.
 
-    Each document is reached through its position; a segment's first position is the sum of the
-    segments before it, taken over one small row a segment.
+    Each document is reached through its position; a segment's first position is the sum of the shards before its own, one small
+    row a writing task, and of the segments before it in its shard. A null id stays null; no segments give no rows.
     """
     schema = f"shard int, segment int, {id_col} bigint, within bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * keep
 
@@ -250,7 +251,9 @@ def read_segments(segments: DataFrame, id_col: str = "doc_id", keep: bool = Fals
                     columns, names = [*columns, pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    ahead = Window.orderBy("shard", "segment").rowsBetween(Window.unboundedPreceding, -1)
-    first = segments.select("shard", "segment", F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0)).alias("first"))
-    docs = segments.select("shard", "segment", "doc_ids", "lengths", "codes").mapInArrow(run, schema)
+    before = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shards = segments.groupBy("shard").agg(F.sum("n_tokens").alias("n_tokens")).select("shard", before(Window.orderBy("shard")).alias("ahead"))
+    within = segments.select("shard", "segment", before(Window.partitionBy("shard").orderBy("segment")).alias("behind"))
+    first = within.join(shards, "shard").select("shard", "segment", (F.col("ahead") + F.col("behind")).alias("first"))
+    docs = segments.select("shard", "segment", "doc_ids", "lengths", "codes").mapInArrow(lean(run), schema)
     return docs.join(first, ["shard", "segment"]).select(id_col, (F.col("first") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if keep else []))

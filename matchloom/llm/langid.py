@@ -8,6 +8,7 @@ lookups.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ragged, slices, text_parts
+from .common import lean, ragged, slices, text_parts
 
 WIDTHS, WINDOW = (2, 3, 4), 512
+#: Windows overlap by the widest filter less one, so every filter is applied at every place of a text once.
+STEP = WINDOW - max(WIDTHS) + 1
 UNKNOWN = "und"
 
 
@@ -44,14 +47,14 @@ class Network:
 
 
 def to_windows(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Whole texts as windows, the last of each padded with zeros: windows, their numbers of bytes, windows of each text (1 at least)."""
+    """Whole texts as overlapping windows, the last of each padded with zeros: windows, their numbers of bytes, windows of each text (1 at least)."""
     sizes = np.diff(offsets)
-    counts = np.maximum(1, -(-sizes // WINDOW))
-    first = np.cumsum(counts) - counts
-    flat = np.zeros(int(counts.sum()) * WINDOW, np.uint8)
-    flat[ragged(first * WINDOW, sizes)] = body
-    lengths = np.full(int(counts.sum()), WINDOW)
-    lengths[first + counts - 1] = sizes - (counts - 1) * WINDOW
+    counts = np.maximum(1, -(-(sizes - (WINDOW - STEP)) // STEP))
+    number = ragged(np.zeros(len(counts), np.int64), counts)
+    starts = np.repeat(offsets[:-1], counts) + number * STEP
+    lengths = np.clip(np.repeat(offsets[1:], counts) - starts, 0, WINDOW)
+    flat = np.zeros(len(starts) * WINDOW, np.uint8)
+    flat[ragged(np.arange(len(starts)) * WINDOW, lengths)] = body[ragged(starts, lengths)]
     return flat.reshape(-1, WINDOW), lengths, counts
 
 
@@ -133,9 +136,9 @@ class Predictor:
 
 
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_lang: int = 300, most: int = 4096, places: int = 6) -> Network | None:
-    """A network from labelled rows: at most per_lang documents a language and `most` in all, chosen by a hash of their ids, with windows from `places` places of each text.
+    """A network from a bounded sample of labelled rows: at most per_lang documents a language and `most` in all, chosen by a hash of their ids, with windows from `places` places spread over each text.
 
-    Rows without text, language or id teach nothing. None if no row is left.
+    Rows without text, language or id teach nothing; of rows with one id the one of smallest language and text counts. None if no row is left.
     """
     known = df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     chosen = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("hashed")).withColumn("part", F.pmod("hashed", F.lit(8)))
@@ -144,7 +147,9 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     chosen = chosen.orderBy("n", "lang").limit(most).select(F.col("id").alias("chosen")).distinct()
     text = F.col("text")
     pieces = F.transform(F.sequence(F.lit(0), F.lit(places - 1)), lambda i: F.substring(text, (F.floor(F.char_length(text) * i / places) + 1).cast("int"), F.lit(WINDOW)))
-    rows = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("chosen")).select("id", "lang", pieces.alias("pieces")).limit(2 * most).collect()
+    taught = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("chosen"))
+    taught = taught.groupBy("id").agg(F.min(F.struct("lang", pieces.alias("pieces"))).alias("row")).select("id", "row.lang", "row.pieces")  # `most` rows at most
+    rows = taught.collect()
     rows = sorted((r for r in rows if any(r.pieces)), key=lambda r: (r.lang, r.id))
     langs = sorted({r.lang for r in rows})
     if not langs:
@@ -172,23 +177,31 @@ def predict(df: DataFrame, net: Network | None, text_col: str = "text", id_col:
             for i, j, langs, scores in told(batch.column(1), batch.column(2)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(langs, pa.string()), pa.array(scores)], names=[f.name for f in schema])
 
-    return df.select(F.col(id_col), F.col(text_col), _lettered(text_col)).mapInArrow(run, schema)
+    return df.select(F.col(id_col), F.col(text_col), _lettered(text_col)).mapInArrow(lean(run), schema)
 
 
 def keep_known(df: DataFrame, net: Network | None, least: float, text_col: str = "text", lang_col: str = "lang", most: int = 1 << 21) -> DataFrame:
-    """The rows whose language is learned and has a probability of `least` at least, with that language in lang_col; all columns stay.
+    """The rows whose language is learned and has a probability of `least` at least, with that language in lang_col; all columns stay, whatever their names.
 
-    Texts that are null or without a letter go. Rows leave Python in portions of about `most` bytes of text.
+    Texts that are null or without a letter go; repeated rows and null ids stay. Only texts go through Python.
     """
-    names, told = df.columns, _teller(net, most)
+    told = _teller(net, most)
 
     def run(batches):
-        for batch in batches:
-            for i, j, langs, scores in told(batch.column(names.index(text_col)), batch.column(len(names))):
-                own = [pa.array(langs, pa.string()) if n == lang_col else batch.column(k).slice(i, j - i) for k, n in enumerate(names)]
-                yield pa.RecordBatch.from_arrays(own, names=names).filter(pa.array((langs != UNKNOWN) & (scores >= least)))
-
-    return df.select(*names, _lettered(text_col)).mapInArrow(run, df.schema)
+        for texts, lettered in batches:
+            found = [(pa.array(langs, pa.string()), pa.array(scores)) for _, _, langs, scores in told(texts, lettered)]
+            langs, scores = (pa.concat_arrays([f[k] for f in found]) if found else pa.array([], t) for k, t in enumerate((pa.string(), pa.float64())))
+            yield pa.StructArray.from_arrays([langs, scores], ["lang", "score"])
+
+    def predicted(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return lean(run)(batches)
+
+    names = df.columns
+    own = df.select(*(df[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(names)))
+    text = f"c{names.index(text_col)}"
+    scored = own.withColumn("told", F.arrow_udf(predicted, "lang string, score double")(F.col(text), _lettered(text)))
+    kept = scored.where((F.col("told.lang") != UNKNOWN) & (F.col("told.score") >= least))
+    return kept.select(*((F.col("told.lang") if c == lang_col else F.col(f"c{k}")).alias(c) for k, c in enumerate(names)))
 
 
 def _lettered(text_col: str):

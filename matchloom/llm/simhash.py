@@ -1,26 +1,25 @@
 """SimHash near-duplicates through a segment-popcount embedding.
 
 A 64-bit fingerprint becomes 32 coordinates, the bit counts of its 2-bit segments. Manhattan distance of
-coordinates is at most the Hamming distance of fingerprints. The coordinates stand in six groups; of two
-points within Manhattan distance 3, at least three groups agree, so for each of the 20 choices of three
-groups a grid cell is what its coordinates are. Points that share a cell are compared by Manhattan
-distance and then exactly.
+coordinates is at most the Hamming distance of fingerprints. Of two points within Manhattan distance 3, the first or the
+second half of the coordinates is within 1. So there is a grid over each half, whose cells have a width of 1, and
+the range join takes each point to its own cell and to the neighbours that are one step higher in one coordinate: two
+points within 1 then meet in the cell of one of them. Points that meet are compared by Manhattan distance over
+all coordinates and then exactly.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, text_parts
+from .common import Scratch, lean, text_parts
 from .components import components
 
-LINK, GROUPS = 3, 6
+LINK = 3
 LOW = 0x5555555555555555
 TILE = 16384
 #: For counting bits: row v has the bits of byte v, the highest first.
@@ -46,7 +45,7 @@ def fingerprint(text: bytes, shingle: int = 3, portion: int = 1 << 16) -> int:
 
 
 def fingerprints(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3) -> DataFrame:
-    """Fingerprint of every whole text as a signed long: id, fp."""
+    """Fingerprint of every whole text as a signed long: id, fp. A null or empty text has 0; rows keep their number, null and repeated ids too."""
     schema = df.select(F.col(id_col).alias("id")).schema.add("fp", "long")
 
     def run(batches):
@@ -56,7 +55,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             found = np.fromiter((fingerprint(raw[i:j], shingle) for i, j in zip(at[:-1].tolist(), at[1:].tolist())), np.uint64, len(at) - 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(lean(run), schema)
 
 
 def embed(x: np.ndarray) -> np.ndarray:
@@ -71,10 +70,15 @@ def _embedded(fp: Column) -> Column:
     return F.shiftleft(fp.bitwiseAND(high).bitwiseAND(F.lit(LOW)), 1).bitwiseOR(fp.bitwiseOR(high).bitwiseAND(F.lit(LOW)))
 
 
-def masks(groups: int = GROUPS, link: int = LINK) -> list[int]:
-    """For each choice of groups - link groups, the bits of their coordinates, as a signed long."""
-    own = [sum(3 << 2 * c for c in range(32) if c * groups // 32 == g) for g in range(groups)]
-    return [m - (1 << 64) if m >> 63 else m for m in (sum(x) for x in combinations(own, groups - link))]
+def reached(e: str = "e") -> Column:
+    """The grid cells that a point (its coordinates in unary) is taken to: half, cell and whether it is the point's own."""
+    halves = []
+    for half, mask in enumerate((0xFFFFFFFF, -1 << 32)):
+        own = f"({e} & {mask}L)"
+        low, high = (f"shiftleft(1L, 2 * c + {32 * half + k})" for k in (0, 1))
+        up = f"transform(sequence(0, 15), c -> CASE WHEN {e} & {low} = 0 THEN named_struct('half', {half}, 'cell', {own} | {low}, 'home', false) WHEN {e} & {high} = 0 THEN named_struct('half', {half}, 'cell', {own} | {high}, 'home', false) END)"
+        halves.append(f"concat(array(named_struct('half', {half}, 'cell', {own}, 'home', true)), filter({up}, x -> x IS NOT NULL))")
+    return F.expr(f"concat({', '.join(halves)})")
 
 
 def spanning_links(x: np.ndarray, link: int = LINK) -> tuple[np.ndarray, np.ndarray]:
@@ -145,17 +149,17 @@ def _runs(x: np.ndarray, starts: np.ndarray, out):
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b) links among distinct fingerprints (column fp), enough to connect all that are within 3 bits by steps of at most 3 bits.
 
-    Cells of one point are dropped after a count. A cell of over TILE points is dealt into tiles of two
+    Cells of one point, or that are no point's own, are dropped after a count. A cell of over TILE points is dealt into tiles of two
     parts each, so that every two of its points meet in some tile and no task holds the whole cell.
     """
     own = distinct.select("fp", _embedded(F.col("fp")).alias("e"))
-    cells = own.select("fp", F.posexplode(F.array(*[F.col("e").bitwiseAND(F.lit(m)) for m in masks()])).alias("choice", "cell"))
-    counts = cells.groupBy("choice", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("choice").alias("c"), F.col("cell").alias("d"), "n")
-    shared = cells.join(counts, (F.col("choice") == F.col("c")) & (F.col("cell") == F.col("d"))).withColumn("parts", F.ceil(F.col("n") / TILE).cast("int"))
+    cells = own.select("fp", F.explode(reached()).alias("to")).select("fp", "to.*")
+    counts = cells.groupBy("half", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("homes")).where("n > 1 AND homes").select(F.col("half").alias("c"), F.col("cell").alias("d"), "n")
+    shared = cells.join(counts, (F.col("half") == F.col("c")) & (F.col("cell") == F.col("d"))).withColumn("parts", F.ceil(F.col("n") / TILE).cast("int"))
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     tiles = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.least(part, j) * F.col("parts") + F.greatest(part, j)))
-    dealt = shared.select("choice", "cell", F.explode(tiles).alias("tile"), "fp")
-    return dealt.repartition("choice", "cell", "tile").sortWithinPartitions("choice", "cell", "tile", "fp").mapInArrow(_cell_links, "a long, b long")
+    dealt = shared.select("half", "cell", F.explode(tiles).alias("tile"), "fp")
+    return dealt.repartition("half", "cell", "tile").sortWithinPartitions("half", "cell", "tile", "fp").mapInArrow(lean(_cell_links), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 3) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 HEADERS = "record_no long, page_id long, copy long, digest string, header binary"
 PAYLOADS = "digest string, sha1 string, size long, payload binary"
 EPOCH = "2000-01-01T00:00:00Z"
+#: Control characters in a url would end or forge header lines, so such urls are written form-encoded, which a header says.
+CONTROL, ENCODED = r"[\x00-\x1F\x7F]", "X-Encoded-"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -36,7 +38,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     smallest, a null payload as empty, a null url as no target. Other columns are left out.
 
     Only digests and keys are joined: payloads are shuffled once, after each task has kept one of its
-    copies. Copies of a payload must agree in SHA-1 and length too, or the write fails.
+    copies. A url with control characters is written form-encoded, so it can't forge headers, and parse_records decodes it.
+    Content-Length is the payload's, also for revisits, as reading joins their payload back. Copies of a payload must agree in SHA-1 and length too, or the write fails.
     """
     rows = _records(pages, id_col, url_col, payload_col)
     kept = rows.withColumn("sha1", base32_sha1(F.col("payload"))).withColumn("size", F.octet_length("payload").cast("long"))
@@ -50,12 +53,13 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     response = (F.col("size") < min_revisit_bytes) | ((F.col("copy") == 1) & F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url")))
     name = lambda page, url, copy: F.concat(F.lit("<urn:sha256:"), F.sha2(F.concat_ws("\n", F.coalesce(page.cast("string"), F.lit("")), F.coalesce(url, F.lit("")), F.col("digest"), copy.cast("string")), 256), F.lit(">"))
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit("\r\n"))
+    target = lambda key, url: F.coalesce(F.when(url.rlike(CONTROL), F.concat(line(key, F.url_encode(url)), line(f"{ENCODED}{key}", F.lit("form")))).otherwise(line(key, url)), F.lit(""))
     header = F.concat(
         F.lit("WARC/1.1\r\n"), line("WARC-Type", F.when(response, "response").otherwise("revisit")), line("WARC-Record-ID", name(F.col("page_id"), F.col("url"), F.col("copy"))), line("WARC-Date", F.lit(EPOCH)),
-        F.coalesce(line("WARC-Target-URI", F.col("url")), F.lit("")), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
+        target("WARC-Target-URI", F.col("url")), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(response, "").otherwise(F.concat(
             F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"), line("WARC-Refers-To", name(F.col("first.page_id"), F.col("first.url"), F.lit(1))),
-            F.coalesce(line("WARC-Refers-To-Target-URI", F.col("first.url")), F.lit("")), F.coalesce(line("X-Refers-To-Page", F.col("first.page_id").cast("string")), F.lit("")))),
+            target("WARC-Refers-To-Target-URI", F.col("first.url")), F.coalesce(line("X-Refers-To-Page", F.col("first.page_id").cast("string")), F.lit("")))),
         F.coalesce(line("X-Page", F.col("page_id").cast("string")), F.lit("")), F.lit("Content-Type: text/html; charset=UTF-8\r\n"), line("Content-Length", F.col("size").cast("string")), F.lit("\r\n"),
     )
     record.select(F.xxhash64("page_id", "url", "copy").alias("record_no"), "page_id", "copy", "digest", F.encode(header, "UTF-8").alias("header")).write.option("compression", "zstd").parquet(f"{path}/headers")
@@ -76,8 +80,9 @@ def record_bytes(records: DataFrame) -> DataFrame:
 def parse_records(records: DataFrame) -> DataFrame:
     """What headers and payloads say: page_id, payload_bytes, payload_digest (computed from the payload), record_type, refers_to, url."""
     field = lambda key: F.nullif(F.regexp_extract("head", rf"\n{key}: ([^\r\n]*)", 1), F.lit(""))
+    url = lambda key: F.when(field(ENCODED + key).isNotNull(), F.url_decode(field(key))).otherwise(field(key))
     read = records.withColumn("head", F.decode("header", "UTF-8"))
     return read.select(
         field("X-Page").cast("long").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"), field("WARC-Type").alias("record_type"),
-        field("X-Refers-To-Page").cast("long").alias("refers_to"), field("WARC-Target-URI").alias("url"),
+        field("X-Refers-To-Page").cast("long").alias("refers_to"), url("WARC-Target-URI").alias("url"),
     )

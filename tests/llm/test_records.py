@@ -35,6 +35,15 @@ def test_warc_round_trip(spark):
     assert len(whole) == len(rows) and all(bytes(r.record).startswith(b"WARC/1.1\r\n") and bytes(r.record).endswith(b"\r\n\r\n") for r in whole)
 
 
+def test_warc_urls_forge_no_headers(spark):
+    path, urls = f"{Scratch(spark, 'test').root}/f", ["http://a\nX-Page: 777", "b\r\nWARC-Type: x\r\n\r\n", "http://c/%20?q=a+b", "d\x00\x7f%0A", "é"]
+    warc.write_archive(spark.createDataFrame([(i, u, "same", "", "") for i, u in enumerate(urls)], PAGES), path)
+    got = {r.page_id: r for r in warc.parse_records(warc.read_archive(spark, path)).collect()}
+    assert [got[i].url for i in range(len(urls))] == urls and {r.refers_to for r in got.values()} == {4, None}
+    heads = [bytes(r.header) for r in warc.read_archive(spark, path).collect()]
+    assert all(h.count(b"\r\n\r\n") == 1 and h.endswith(b"\r\n\r\n") and b"\n" not in h.replace(b"\r\n", b"") for h in heads)
+
+
 def test_warc_small_payloads_and_no_pages(spark):
     path = f"{Scratch(spark, 'test').root}/b"
     warc.write_archive(spark.createDataFrame([(1, "u", "ab", "", ""), (2, "u", "ab", "", "")], PAGES), path, min_revisit_bytes=3)
@@ -92,7 +101,7 @@ def test_bpe_equals_library(spark, odd, none):
 
 
 def test_bpe_random_strings():
-    t, table = _library(), bpe._Words(bpe.WordBpe(vocabulary()), 100)
+    t, table = _library(), bpe._Words(bpe.WordBpe(vocabulary()), 30_000)
     rnd, letters = random.Random(3), [*"aAbHTJ'sSrRe  EÍ̱̊éÉ İΣσ1٣<|>가\n\t", "<|endoftext|>", "<|ENDOFTEXT|>", "'ll"]
     for _ in range(3000):
         s = "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 14)))
@@ -101,6 +110,14 @@ def test_bpe_random_strings():
         assert ids == t.encode(s, add_special_tokens=False).ids and table.bpe.decode(ids) == t.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_splits_code_points_like_the_library():
+    t, table = _library(), bpe.WordBpe(vocabulary())
+    points = [c for c in [*range(0, 0x32000, 7), *range(0xA7C0, 0xA800), *range(0x10D40, 0x10D90), *range(0x16EA0, 0x16ED8)] if not 0xD800 <= c < 0xE000]
+    texts = [f"{a}{chr(c)}{a}" for c in points for a in "a1!"]
+    assert [x.ids for x in t.encode_batch(texts, add_special_tokens=False)] == [table.tokens(x) for x in texts]
+    assert table.tokens("ab" * 20000) == t.encode("ab" * 20000, add_special_tokens=False).ids
+
+
 def test_codes_random_access():
     rnd = np.random.default_rng(0)
     for n in (0, 1, 7, 8, 511, 512, 513, 3000):
@@ -135,8 +152,13 @@ def test_audio(spark, odd, none):
         body = raw + bytes(max(1, -(-len(raw) // 64)) * 64 - len(raw))
         r = rows[name, hashlib.sha256(body).hexdigest()]
         assert (r.n_bytes, r.payload_bytes, r.tail_crc32) == (len(raw), len(body), zlib.crc32(body[-64:]))
-        media = audio.wav_header(audio.MULAW, len(body)) + body
+        media = audio.wav_header(list(audio.CODECS.values())[zlib.crc32(body) % 3], len(body)) + body
         assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
+        samples, rate = audio.to_pcm(media)
+        wide = [int(v) for k, a in enumerate(samples.tolist()) for v in (a, (a + samples.tolist()[min(k + 1, len(samples) - 1)]) >> 1)] if len(samples) < 5000 else np.frombuffer(r.pcm, "<i2").tolist()
+        raw = np.array(wide, "<i2").tobytes()
+        name = {v: k for k, v in audio.CODECS.items()}[audio.read_wav(media)[0]]
+        assert rate == 8000 and bytes(r.pcm) == raw and r.feature == f"{name}@16000:{len(wide)},{max(map(abs, wide))},{sum(map(abs, wide))},{zlib.crc32(raw):08x}"
     one = {r.doc_id: r.feature for r in audio.media_features(stored, most=1).collect()}
     assert one == {r.doc_id: r.feature for r in rows.values()}
     assert audio.media_features(audio.store_media(none)).count() == 0
@@ -145,6 +167,29 @@ def test_audio(spark, odd, none):
         assert len(pcm) == len(ODD) and all(len(r.pcm) == 2 * r.n_samples for r in pcm)
     bad = audio.decode_media(spark.createDataFrame([(1, bytearray(b"junk")), (2, None)], "doc_id long, media binary")).collect()
     assert [r.pcm for r in bad] == [None, None]
+    pcm = np.arange(-300, 300, dtype="<i2").tobytes()
+    odd_media = [(1, 1, bytearray(b"junk")), (2, 1, None), (3, 1, bytearray(audio.wav_header(audio.PCM, len(pcm), 48000) + pcm)), (4, 1, bytearray(audio.wav_header(99, 4) + b"1234")), (5, 1, bytearray()), (6, 1, bytearray(audio.wav_header(audio.IMA_ADPCM, 64) + bytes(64)))]
+    found = {r.doc_id: r for r in audio.media_features(spark.createDataFrame(odd_media, "doc_id long, n_bytes long, media binary")).collect()}
+    assert [k for k, r in found.items() if r.pcm is None] == [1, 2, 4, 5] and found[2].media_bytes is None and found[1].media_bytes == 4
+    assert np.frombuffer(found[3].pcm, "<i2").tolist() == list(range(-300, 300, 3)) and found[3].feature.startswith("pcm@16000:200,")
+    assert found[6].feature.startswith("ima_adpcm@16000:242,0,0,")
+
+
+def test_resample_against_fractions():
+    from fractions import Fraction
+    from math import floor
+
+    rnd = np.random.default_rng(4)
+    for rate in (8000, 11025, 16000, 22050, 44100):
+        parts = [rnd.integers(-32768, 32768, n).astype(np.int16) for n in (0, 1, 5, 40)]
+        got, at = audio.resample(np.concatenate(parts), np.cumsum([0, *map(len, parts)]), rate)
+        for k, own in enumerate(parts):
+            want = []
+            for n in range(-(-len(own) * 16000 // rate)):
+                place = Fraction(n * rate, 16000)
+                a, b = int(own[floor(place)]), int(own[min(floor(place) + 1, len(own) - 1)])
+                want.append(a + floor((b - a) * (place - floor(place))))
+            assert got[at[k] : at[k + 1]].tolist() == want
 
 
 def test_expansion_tables():

@@ -285,6 +285,13 @@ def test_top_k(spark):
         assert {tuple(r) for r in balltree.top_k(df, query, shard=shard, block=block).collect()} == want
     huge = spark.createDataFrame([(0, [1e18, 1.0]), (1, [1e18, -1.0]), (2, [-1e18, 0.0])], "vec_id long, embedding array<double>")
     assert [r.vec_id for r in balltree.top_k(huge, query).orderBy("rank").collect()] == [1, 2]
+    mixed = [(i, [float(v) for v in rnd.integers(-1000, 1000, 4) * 10.0 ** rnd.integers(0, 8)]) for i in range(300)] + [(300, [1e300, 1.0, 0.0, 0.0]), (301, [-1e305, 1e304, 0.0, 1.0])]
+    whole, limit = {i: [int(np.floor(256 * x)) if abs(x) < 1e15 else int(256 * x) for x in v] for i, v in mixed}, 1 << 63
+    want = set()
+    for i in range(0, 302, 50):
+        ranked = sorted((-max(-limit, min(limit - 1, sum(a * b for a, b in zip(whole[i], whole[j])))), j) for j in whole if j != i)
+        want |= {(i, k + 1, j, -s) for k, (s, j) in enumerate(ranked[:5])}
+    assert {tuple(r) for r in balltree.top_k(spark.createDataFrame(mixed, "vec_id long, embedding array<double>"), query, shard=100).collect()} == want
     assert balltree.top_k(df.limit(0), query).count() == 0
 
 
@@ -313,8 +320,52 @@ def test_windows_cover_whole_texts():
     texts = [b"", b"a" * 511, b"b" * 512, b"c" * 1300]
     body, at = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
     x, lengths, counts = langid.to_windows(body, at)
-    assert counts.tolist() == [1, 1, 1, 3] and lengths.tolist() == [0, 511, 512, 512, 512, 276]
-    assert [w[:n].tobytes() for w, n in zip(x, lengths)] == [b"", texts[1], texts[2], b"c" * 512, b"c" * 512, b"c" * 276]
+    assert counts.tolist() == [1, 1, 1, 3] and lengths.tolist() == [0, 511, 512, 512, 512, 282]
+    assert [w[:n].tobytes() for w, n in zip(x, lengths)] == [b"", texts[1], texts[2], b"c" * 512, b"c" * 512, b"c" * 282]
+
+
+def _slow_probabilities(net, text):
+    """The network by its definition: windows of a text whose every place is covered once, filters byte by byte."""
+    step, total, weight = langid.STEP, 0, 0
+    for start in range(0, max(1, len(text) - langid.WINDOW + step), step):
+        part = text[start : start + langid.WINDOW]
+        x, pooled = np.frombuffer(part.ljust(langid.WINDOW, b"\0"), np.uint8), []
+        for w in net.filters:
+            for f in range(w.shape[2]):
+                pooled.append(max(sum(float(net.embed[x[p + k]] @ w[k, :, f]) for k in range(len(w))) for p in range(step)))
+        logits = np.maximum(np.array(pooled) + net.bias, 0) @ net.out + net.out_bias
+        prob = np.exp(logits - logits.max())
+        total, weight = total + prob / prob.sum() * max(1, len(part)), weight + max(1, len(part))
+    return total / weight
+
+
+def test_network_against_its_definition():
+    rnd = np.random.default_rng(3)
+    net = langid.Network(["a", "b", "c"], rnd.normal(size=(256, 3)), [rnd.normal(size=(w, 3, 2)) for w in langid.WIDTHS], rnd.normal(size=6), rnd.normal(size=(6, 3)), rnd.normal(size=3))
+    texts = [b"", b"xyz", bytes(rnd.integers(32, 127, 700, np.uint8))]
+    got = langid.Predictor(net).texts(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    for own, text in zip(got, texts):
+        assert own == pytest.approx(_slow_probabilities(net, text), abs=1e-4)
+
+
+def test_training_lowers_loss_along_true_gradients():
+    """One step of training moves every parameter against the gradient that differences give."""
+    rnd = np.random.default_rng(5)
+    x, y = rnd.integers(97, 105, (8, langid.WINDOW)).astype(np.uint8), np.arange(8) % 2
+    start = langid.train(x, y, ["a", "b"], dims=2, per_width=1, epochs=0)
+    after = langid.train(x, y, ["a", "b"], dims=2, per_width=1, epochs=1, batch=8, rate=1e-6)
+
+    def loss(net):
+        prob = np.array([langid.Predictor(net).windows(x[i : i + 1])[0] for i in range(8)], np.float64)
+        return -np.log(prob[np.arange(8), y]).mean()
+
+    for get in (lambda n: n.out, lambda n: n.out_bias, lambda n: n.bias, lambda n: n.filters[2]):
+        at = np.unravel_index(np.abs(get(after) - get(start)).argmax(), get(start).shape)
+        moved, base = get(after)[at] - get(start)[at], loss(start)
+        get(start)[at] += 0.01
+        slope = loss(start) - base
+        get(start)[at] -= 0.01
+        assert moved == 0 or abs(slope) < 1e-5 or np.sign(moved) == -np.sign(slope)
 
 
 def test_quality(spark, odd, none):
