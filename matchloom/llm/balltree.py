@@ -89,7 +89,7 @@ def search(tree: BallTree, queries: np.ndarray, query_ids: np.ndarray, k: int, s
         touched[who[i]] = True
         old = touched[found[0]]
         q, v, s = (np.concatenate((f[old], x)) for f, x in zip(found, (who[i], ids[j], got)))
-        order = np.lexsort((v, -s, q))
+        order = np.lexsort((v, ~s, q))  # -s would overflow at the lowest long
         q, v, s = q[order], v[order], s[order]
         first = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
         place = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))

@@ -103,8 +103,17 @@ def release() -> None:
         trim(0)
 
 
+#: Bytes of an Arrow batch, where the session leaves Spark's 64 MB; long texts count by their length.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "2m"
+
+
 def lean(run: Callable, name: str | None = None) -> Callable:
-    """The kernel, which drops what other kernels have kept in its worker when it starts, and gives free memory back when it ends."""
+    """The kernel, which drops what other kernels have kept in its worker when it starts, and gives free memory back when it ends.
+
+    Sets the session's Arrow batches to a few MB unless it has a size of its own, so that tasks hold little more than that.
+    """
+    if (spark := SparkSession.getActiveSession()) and spark.conf.get(BATCH[0], None) in ("67108864b", "64m", "64MB"):
+        spark.conf.set(*BATCH)
 
     def wrapped(batches):
         forget(name)

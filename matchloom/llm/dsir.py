@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, text_parts
+from .common import Scratch, lean, slices, text_parts
 from .mixing import uniform
 from .words import grams, hashed_words
 
@@ -50,7 +50,7 @@ def count_features(df: DataFrame, text_col: str, flag_col: str) -> DataFrame:
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(target[some])], names=["bucket", "raw", "target"])
 
-    counted = df.select(F.col(text_col), F.col(flag_col)).mapInArrow(run, "bucket long, raw long, target long")
+    counted = df.select(F.col(text_col), F.col(flag_col)).mapInArrow(lean(run), "bucket long, raw long, target long")
     return counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -83,7 +83,7 @@ def log_importance(df: DataFrame, ratios: np.ndarray, text_col: str = "text", id
                 counts.append(np.diff(ends))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(counts)), pa.array(np.concatenate(sums) / float(1 << 32))], names=[f.name for f in schema])
 
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(lean(run), schema)
 
 
 def top_fraction(scored: DataFrame, key: str, fraction: float, tie: str) -> DataFrame:

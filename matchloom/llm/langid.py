@@ -163,7 +163,7 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return train(np.array(x), np.array(y), langs)
 
 
-def predict(df: DataFrame, net: Network | None, text_col: str = "text", id_col: str = "doc_id", most: int = 1 << 21) -> DataFrame:
+def predict(df: DataFrame, net: Network | None, text_col: str = "text", id_col: str = "doc_id", most: int = 1 << 19) -> DataFrame:
     """Language of every whole text: id, lang_pred, score (probability of that language, 0 for `und`).
 
     A text that is null or has no letter is `und`, and so is every text if nothing was learned. Rows keep
@@ -180,7 +180,7 @@ def predict(df: DataFrame, net: Network | None, text_col: str = "text", id_col:
     return df.select(F.col(id_col), F.col(text_col), _lettered(text_col)).mapInArrow(lean(run), schema)
 
 
-def keep_known(df: DataFrame, net: Network | None, least: float, text_col: str = "text", lang_col: str = "lang", most: int = 1 << 21) -> DataFrame:
+def keep_known(df: DataFrame, net: Network | None, least: float, text_col: str = "text", lang_col: str = "lang", most: int = 1 << 19) -> DataFrame:
     """The rows whose language is learned and has a probability of `least` at least, with that language in lang_col; all columns stay, whatever their names.
 
     Texts that are null or without a letter go; repeated rows and null ids stay. Only texts go through Python.
