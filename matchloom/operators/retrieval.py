@@ -104,21 +104,73 @@ def tfidf_pass(queries: DataFrame, index: DataFrame, k: int = 20, query_terms: i
     counted = sides(queries, "q").unionByName(sides(index, "x")).groupBy("grp", "side", "text").agg(F.count(F.lit(1)).alias("copies"))
     vectors = tfidf(counted.select("grp", "side", F.col("text").alias("id"), "text", "copies"), grams, **limits)
     q, x = prune_terms(vectors.where("side = 'q'"), query_terms), vectors.where("side = 'x'")
-    scored = sparse_top_k(q, prune_terms(x, index_terms) if index_terms else x, k, truncate=False).select("grp", F.col("s1_id").alias("q_text"), F.col("cand_id").alias("x_text"), "score")
+    x = prune_terms(x, index_terms) if index_terms else x
     query_ids, index_ids = (df.select(F.col("grp").alias("_grp"), F.col("text").alias("_text"), F.col("id").alias(name)) for df, name in ((queries, "s1_id"), (index, "cand_id")))
     if truncate:
-        held = counted.where("side = 'x'").select(F.col("grp").alias("_g"), F.col("text").alias("_t"), "copies")
-        sized = scored.join(held, (F.col("grp") == F.col("_g")) & (F.col("x_text") == F.col("_t"))).drop("_g", "_t")
+        scored = block_top_k(q, x, counted.where("side = 'x'").select("grp", F.col("text").alias("id"), "copies"), k)
         by_text = Window.partitionBy("grp", "q_text")
         better = F.sum("copies").over(by_text.orderBy(F.desc("score"))) - F.sum("copies").over(Window.partitionBy("grp", "q_text", "score"))
-        scored = sized.withColumn("better", better).where(F.col("better") < k).select("grp", "q_text", "x_text", "score")
+        scored = scored.withColumn("better", better).where(F.col("better") < k).select("grp", "q_text", "x_text", "score")
         index_ids = top_k(index_ids, ["_grp", "_text"], [F.asc("cand_id")], k)
+    else:
+        scored = sparse_top_k(q, x, k, truncate=False).select("grp", F.col("s1_id").alias("q_text"), F.col("cand_id").alias("x_text"), "score")
     found = scored.join(index_ids, (F.col("grp") == F.col("_grp")) & (F.col("x_text") == F.col("_text"))).select("grp", "q_text", "cand_id", "score")
     if truncate:
         found = top_k(found, ["grp", "q_text"], [F.desc("score"), F.asc("cand_id")], k)
     return found.join(query_ids, (F.col("grp") == F.col("_grp")) & (F.col("q_text") == F.col("_text"))).select("grp", "s1_id", "cand_id", "score")
 
 
+def block_top_k(queries: DataFrame, index: DataFrame, copies: DataFrame, k: int, block: int = 16_384, query_block: int = 4096) -> DataFrame:
+    """The best texts of each query text by inner product: (grp, q_text, x_text, score, copies), enough for k records a query, ties included.
+
+    Vectors are (grp, id, gram, weight). Each side is dealt into blocks, and every two blocks of a group meet in one task: it
+    goes through the lists of a query's grams in the index block and hands on only what k copies there need. So no pair of
+    texts that merely share a gram is ever a row, and a gram that most texts have costs a task at most one entry a text.
+    """
+    packed = lambda df: df.groupBy("grp", "id").agg(F.collect_list(F.struct("gram", "weight")).alias("terms"))
+    q, x = packed(queries), packed(index).join(copies.select(F.col("grp").alias("_g"), F.col("id").alias("_i"), "copies"), (F.col("grp") == F.col("_g")) & (F.col("id") == F.col("_i"))).drop("_g", "_i")
+    parts = lambda df, most, name: df.select("grp", "id").distinct().groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
+    both = parts(queries, query_block, "q_parts").join(parts(index, block, "x_parts"), "grp")
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = q.join(both, "grp").select("grp", F.col("id").alias("q_text"), F.col("terms.gram").alias("grams"), F.col("terms.weight").alias("weights"), own("q_parts").alias("qb"), every("x_parts").alias("xb"))
+    right = x.join(both, "grp").select(F.col("grp").alias("grp2"), F.col("id").alias("x_text"), "copies", F.col("terms.gram").alias("grams2"), F.col("terms.weight").alias("weights2"), every("q_parts").alias("qb2"), own("x_parts").alias("xb2"))
+    group_type = queries.schema["grp"].dataType.simpleString()
+    margin = 2 * 10.0**-PLACES  # texts within it may be equal once rounded
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, cols, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        if left.num_rows and right.num_rows:
+            lists = right.column("grams2").combine_chunks()
+            coded = lists.flatten().dictionary_encode()
+            number = {g: n for n, g in enumerate(coded.dictionary.to_pylist())}
+            gram, size = coded.indices.to_numpy(), np.diff(lists.offsets.to_numpy())
+            order = np.argsort(gram, kind="stable")
+            text, weight = np.repeat(np.arange(len(size)), size)[order], right.column("weights2").combine_chunks().flatten().to_numpy()[order]
+            at = np.searchsorted(gram[order], np.arange(len(number) + 1))
+            held = right.column("copies").to_numpy()
+            for row, (grams, weights) in enumerate(zip(left.column("grams").to_pylist(), left.column("weights").to_pylist())):
+                spans = [(at[n], at[n + 1], w) for g, w in zip(grams, weights) if (n := number.get(g)) is not None]
+                if not spans:
+                    continue
+                total = np.bincount(np.concatenate([text[a:b] for a, b, _ in spans]), np.concatenate([weight[a:b] * w for a, b, w in spans]), len(size))
+                best = np.flatnonzero(total > 0)
+                if len(best) > k:
+                    best = best[total[best] >= np.partition(total[best], len(best) - k)[len(best) - k] - margin]
+                    best = best[np.argsort(-total[best], kind="stable")]
+                    enough = int(np.searchsorted(np.cumsum(held[best]), k))
+                    if enough < len(best):
+                        best = best[total[best] >= total[best[enough]] - margin]
+                rows.append(np.full(len(best), row))
+                cols.append(best)
+                scores.append(total[best])
+        rows, cols, scores = (np.concatenate(v) for v in (rows, cols, scores))
+        return pa.table({"grp": left.column("grp").take(rows), "q_text": left.column("q_text").take(rows), "x_text": right.column("x_text").take(cols), "score": pa.array(scores), "copies": right.column("copies").take(cols)})
+
+    met = left.groupBy("grp", "qb", "xb").cogroup(right.groupBy("grp2", "qb2", "xb2")).applyInArrow(meet, f"grp {group_type}, q_text string, x_text string, score double, copies long")
+    return met.withColumn("score", F.round("score", PLACES)).where("score > 0")
+
+
 def hashed_encoder(dims: int = 256):
     """The default encoder: hashed letter 3-grams, unit length. Any Arrow function from text to an array of floats can stand in."""
     import zlib

@@ -7,9 +7,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import columns, lexicon, normalize, similarity
 from ..functions.columns import embedding_text
 from ..functions.normalize import normalize_frame
-from ..operators import blocking, decide, errors, evaluate, features, model, retrieval, sampling
+from ..operators import blocking, decide, errors, evaluate, features, keys, model, retrieval, sampling
 from ..sources import tables
 
 
@@ -22,6 +23,10 @@ class RunConfig:
     singleton_taus: tuple | None = None
 
 
+#: Modules whose source decides what a run's tables hold.
+CODE = (columns, lexicon, normalize, similarity, blocking, decide, errors, evaluate, features, keys, model, retrieval, sampling, tables)
+
+
 class Linkage:
     """A run whose normalised records, candidates, features and scores are written below `root`, since each is read more than once.
 
@@ -34,8 +39,15 @@ class Linkage:
     def _kept(self, name: str, key: str, make) -> DataFrame:
         return tables.cached(SparkSession.getActiveSession(), self.root, name, key, make)
 
+    def _key(self, *parts) -> str:
+        """Key of what comes of these tables and values: also of the library's code, all settings and the encoder."""
+        encoder = self.encoder and getattr(self.encoder, "func", self.encoder)
+        code = getattr(encoder, "__code__", None)
+        named = encoder and (getattr(encoder, "__module__", ""), getattr(encoder, "__qualname__", repr(encoder)), code and (code.co_code, code.co_consts), [repr(c.cell_contents) for c in getattr(encoder, "__closure__", None) or ()], getattr(encoder, "version", ""))
+        return tables.cache_key(*parts, self.config, named, tables.code_version(*CODE))
+
     def prepare(self, records: DataFrame, name: str) -> DataFrame:
-        return self._kept(f"norm_{name}", tables.cache_key(records), lambda: normalize_frame(records))
+        return self._kept(f"norm_{name}", self._key(records), lambda: normalize_frame(records))
 
     def candidates(self, s1: DataFrame, others: DataFrame, key: str) -> DataFrame:
         return self._kept("candidates", key, lambda: blocking.generate_candidates(s1, others, self.config.blocking, self.encoder))
@@ -51,18 +63,18 @@ class Linkage:
 
     def _block(self, s1: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
         a, b = self.prepare(s1, "s1"), self.prepare(others, "others")
-        key = tables.cache_key(a, b, self.config.blocking)
+        key = self._key(a, b)
         cands = self.candidates(a, b, key)
         return a, b, cands, self.features(cands, a, b, key)
 
     def fit(self, labelled: DataFrame, truth: DataFrame, universe: DataFrame):
         """Out-of-fold scores, the thresholds that suit them, and a model of all rows: (model, tau, singleton_tau, scored)."""
-        columns = features.feature_columns(labelled)
-        scored, folds = model.train_oof(labelled, self.config.n_folds, self.config.model, columns)
-        scored = self._kept("oof", tables.cache_key(labelled, self.config.model), lambda: scored)
+        names = features.feature_columns(labelled)
+        scored, folds = model.train_oof(labelled, self.config.n_folds, self.config.model, names)
+        scored = self._kept("oof", self._key(labelled), lambda: scored)
         best = decide.tune_threshold(scored, truth, universe, singleton_taus=self.config.singleton_taus).first()
         rounds = model.full_rounds(folds, self.config.n_folds, self.config.model.rounds)
-        return model.train_full(labelled, columns, self.config.model, rounds), best.tau, best.singleton_tau, scored
+        return model.train_full(labelled, names, self.config.model, rounds), best.tau, best.singleton_tau, scored
 
     def valid(self, s1: DataFrame, others: DataFrame, truth: DataFrame, stage: str = "all") -> dict[str, DataFrame | float | None]:
         """Trains on four fifths of the queries and reports on the rest. Stages `blocking` and `features` end there."""
@@ -79,9 +91,10 @@ class Linkage:
             return out
         split = sampling.split_queries(universe, truth)
         part = lambda df, s: df.join(split.where(F.col("split") == s).select("s1_id"), "s1_id", "left_semi")
-        fitted, tau, gate, oof = self.fit(part(labelled, "train"), part(truth, "train"), part(universe, "train"))
+        fitted, tau, gate, _ = self.fit(part(labelled, "train"), part(truth, "train"), part(universe, "train"))
         held = part(universe, "valid")
-        scored = self._kept("scored", tables.cache_key(oof, "valid"), lambda: model.predict(fitted, part(labelled, "valid"), features.feature_columns(labelled)))
+        own = part(labelled, "valid")
+        scored = self._kept("scored", self._key(part(labelled, "train"), own), lambda: model.predict(fitted, own, features.feature_columns(labelled)))
         pred = decide.decide_pairs(scored, tau, gate)
         known = part(truth, "valid")
         classes = errors.classify_true_pairs(known, part(cands, "valid"), scored, pred, tau, errors.true_pair_losses(known, a, b))
@@ -102,9 +115,10 @@ class Linkage:
     def test(self, train: tuple[DataFrame, DataFrame, DataFrame], s1: DataFrame, others: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Matches and candidates, as lists, of records without labels; vectors are fitted anew on them."""
         _, _, _, feats = self._block(train[0], train[1])
-        fitted, tau, gate, _ = self.fit(features.label_pairs(feats, train[2]), train[2], train[0].select(F.col("entity_id").alias("s1_id")))
+        labelled = features.label_pairs(feats, train[2])
+        fitted, tau, gate, _ = self.fit(labelled, train[2], train[0].select(F.col("entity_id").alias("s1_id")))
         _, _, cands, own = self._block(s1, others)
-        scored = self._kept("test_scored", tables.cache_key(own, tau, gate), lambda: model.predict(fitted, own))
+        scored = self._kept("test_scored", self._key(labelled, own), lambda: model.predict(fitted, own))
         universe = s1.select(F.col("entity_id").alias("s1_id"))
         matches = decide.apply_threshold(scored, universe, tau, gate).withColumnRenamed("matched", "ids")
         return matches, retrieval.candidate_lists(scored, -F.col("prob")).withColumnRenamed("candidates", "ids")

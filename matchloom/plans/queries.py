@@ -333,7 +333,7 @@ def tx9_split_dba(biz):
     return biz.select("entity_id", fc.split_dba(text).alias("s")).select("entity_id", "s.*")
 
 
-_FORMS = {w: f for f, ws in lex.LEGAL_FORMS.items() for w in ws.split()}
+_FORMS = lex.LEGAL_FORMS
 
 
 @query("biz", sql="WITH f AS (SELECT * FROM (VALUES " + ", ".join(f"('{w}', '{f}')" for w, f in _FORMS.items()) + f""") f(word, form)), t AS (SELECT entity_id, unnest({words_sql('name_norm')}) AS w, generate_subscripts({words_sql('name_norm')}, 1) AS i FROM {{biz}})
