@@ -74,11 +74,18 @@ def ks_p_value(d: float | None, n: int, m: int) -> float | None:
     return 1.0 if x < 0.2 else min(1.0, max(0.0, 2 * sum((-1) ** (k - 1) * math.exp(-2 * (k * x) ** 2) for k in range(1, 101))))
 
 
+def ks_p(ks: Column, n: Column, m: Column) -> Column:
+    """ks_p_value as a column."""
+    x = ks * F.sqrt(n * m / (n + m))
+    tail = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda total, k: total + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2 * (k * x) * (k * x)))
+    return F.when(x < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * tail)))
+
+
 def compare_distributions(long: DataFrame, a: str = "train", b: str = "test") -> DataFrame:
-    """For each covariate: quantile summaries of both splits, the KS statistic, Cohen's d and its bucket."""
+    """For each covariate: quantile summaries of both splits, the KS statistic and its p-value, Cohen's d and its bucket."""
     summary, names = quantile_summary(long), ("n", "mean", *QUANTILES)
     of = lambda s: summary.where(F.col("split") == s).select("covariate", *(F.col(n).alias(f"{n}_{s}") for n in names))
-    both = of(a).join(of(b), "covariate", "full").join(ks_statistic(long, a, b).select("covariate", "ks"), "covariate", "left").join(cohens_d(long, a, b), "covariate", "left")
+    both = of(a).join(of(b), "covariate", "full").join(ks_statistic(long, a, b).select("covariate", "ks", ks_p(F.col("ks"), F.col("n_a"), F.col("n_b")).alias("p_value")), "covariate", "left").join(cohens_d(long, a, b), "covariate", "left")
     return both.withColumn("effect", effect_bucket(F.col("cohens_d")))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,9 +21,9 @@ UNKNOWN = -1.0
 @dataclass(frozen=True)
 class ModelConfig:
     rounds: int = 40
-    step: float = 0.1
-    depth: int = 5
-    least_rows: int = 10
+    step: float = 0.05
+    depth: int = 7
+    least_rows: int = 50
     subsample: float = 0.8
     feature_share: str = "0.8"
     tolerance: float = 0.001
@@ -77,6 +78,15 @@ def feature_importance(model: PipelineModel, columns: list[str]) -> list[tuple[s
     return sorted(((c, float(gains[2 * i] + gains[2 * i + 1])) for i, c in enumerate(columns)), key=lambda x: -x[1])
 
 
+def split_counts(model: PipelineModel, columns: list[str]) -> list[tuple[str, int]]:
+    """(feature, how many nodes split by it), most first; a feature's value and its flag together."""
+    found = dict.fromkeys(range(len(columns)), 0)
+    for tree in model.stages[-1].trees:
+        for n in re.findall(r"feature (\d+) (?:<=|in)", tree.toDebugString):
+            found[int(n) // 2] += 1
+    return sorted(((columns[i], n) for i, n in found.items()), key=lambda x: (-x[1], x[0]))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

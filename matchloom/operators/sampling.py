@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SLICES = 4096
+
+
 def hash_fraction(id_col: Column, salt: str = "") -> Column:
     """A number in [0, 1) of an id; a smaller limit keeps a part of what a larger one keeps. 48 bits of MD5."""
     digest = F.md5(F.concat(id_col.cast("string"), F.lit(f"#{salt}")).cast("binary"))
@@ -23,9 +26,26 @@ def subsample(s1: DataFrame, others: DataFrame, truth: DataFrame, fraction: floa
 def split_queries(universe: DataFrame, truth: DataFrame, share: float = 0.2, salt: str = "42") -> DataFrame:
     """(s1_id, split): `share` of the queries with matches, and of those without, are `valid`, the rest `train`."""
     stratum = universe.select("s1_id").distinct().join(truth.select("s1_id").distinct().withColumn("matched", F.lit(1)), "s1_id", "left")
-    by = Window.partitionBy("matched").orderBy(hash_fraction(F.col("s1_id"), salt), "s1_id")
-    size = F.count(F.lit(1)).over(Window.partitionBy("matched"))
-    return stratum.select("s1_id", F.when(F.row_number().over(by) <= F.round(size * share), "valid").otherwise("train").alias("split"))
+    dealt = stratum.withColumn("place", hash_fraction(F.col("s1_id"), salt)).withColumn("slice", F.floor(F.col("place") * SLICES))
+    # Counts by slice first, so that no task ranks more than a slice.
+    counts = dealt.groupBy("matched", "slice").agg(F.count(F.lit(1)).alias("held"))
+    run, whole = Window.partitionBy("matched").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("matched")
+    counts = counts.select(F.col("matched").alias("_m"), F.col("slice").alias("_s"), F.coalesce(F.sum("held").over(run), F.lit(0)).alias("ahead"), F.round(F.sum("held").over(whole) * share).alias("wanted"))
+    placed = dealt.join(counts, F.col("matched").eqNullSafe(F.col("_m")) & (F.col("slice") == F.col("_s")))
+    rank = F.col("ahead") + F.row_number().over(Window.partitionBy("matched", "slice").orderBy("place", "s1_id"))
+    return placed.select("s1_id", F.when(rank <= F.col("wanted"), "valid").otherwise("train").alias("split"))
+
+
+def fit_sample(df: DataFrame, most: int = 2_000_000, id_col: str = "entity_id", salt: str = "fit") -> DataFrame:
+    """At most `most` rows, those whose ids hash lowest, for fitting what needs no more; all rows if there aren't more. Repeated ids stay or go together, so they may be a few more."""
+    total = df.count()
+    if total <= most:
+        return df
+    dealt = df.withColumn("_place", hash_fraction(F.col(id_col), salt))
+    run = Window.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)  # a million places at most
+    counts = dealt.groupBy("_place").agg(F.count(F.lit(1)).alias("_n")).withColumn("_ahead", F.coalesce(F.sum("_n").over(run), F.lit(0)))
+    edge = counts.where(F.col("_ahead") < most).agg(F.max("_place").alias("_edge")).first()._edge
+    return dealt.where(F.col("_place") <= edge).drop("_place")
 
 
 def group_folds(pairs: DataFrame, n_folds: int = 5, salt: str = "folds") -> DataFrame:

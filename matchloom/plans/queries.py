@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -722,6 +723,51 @@ def io21_truth_pairs(idtext):
     return tables.truth_pairs(idtext.select(F.col("s1_id").alias("source1_entity_id"), F.col("ids").alias("matched_entity_ids")))[0]
 
 
+HASH = "(('0x' || substr(md5({} || '#{}'), 1, 12))::BIGINT % 1000000) / 1e6"
+_RECORDS = "SELECT entity_id, business_name, business_address, country FROM {biz}"
+
+
+def _folder(df: DataFrame, name: str) -> str:
+    return f"{tables.shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("biz", sql=_RECORDS)
+def io1_read_tsv(biz):
+    path = _folder(biz, "tsv")
+    tables.write_tsv(biz.select(*tables.RECORD.names), path)
+    return tables.read_tsv(biz.sparkSession, path, tables.RECORD)
+
+
+@query("biz", "idtext", sql="SELECT entity_id AS id, country AS value FROM {biz} UNION ALL SELECT s1_id, ids FROM {idtext}")
+def io3_catalog(biz, idtext):
+    spark, paths = biz.sparkSession, {"s1": _folder(biz, "records"), "truth": _folder(biz, "truth")}
+    tables.write_tsv(biz.select(*tables.RECORD.names), paths["s1"])
+    tables.write_tsv(idtext.select(F.col("s1_id").alias("source1_entity_id"), F.col("ids").alias("matched_entity_ids")), paths["truth"])
+    own = tables.Catalog(spark, {"valid": paths}).split("valid")
+    return own["s1"].select(F.col("entity_id").alias("id"), F.col("country").alias("value")).unionByName(own["truth"].select(F.col("source1_entity_id").alias("id"), F.col("matched_entity_ids").alias("value")))
+
+
+@query("biz", sql=_RECORDS)
+def io9_cached(biz):
+    own = biz.select(*tables.RECORD.names)
+    made = lambda: tables.cached(biz.sparkSession, root, "records", tables.cache_key(own, tables.code_version(tables)), lambda: own)
+    root = _folder(biz, "cache")
+    made()
+    return made()
+
+
+@query("biz", sql=_RECORDS)
+def io18_copy_table(biz):
+    path = _folder(biz, "copy")
+    tables.copy_table(biz.select(*tables.RECORD.names), path)
+    return biz.sparkSession.read.parquet(path)
+
+
+@query("biz", sql=f"WITH h AS (SELECT entity_id, {HASH.format('entity_id', 'fit')} AS place FROM {{biz}}), c AS (SELECT place, coalesce(sum(count(*)) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM h GROUP BY place) SELECT entity_id FROM h JOIN c USING (place) WHERE ahead < 500")
+def sl8_fit_sample(biz):
+    return sampling.fit_sample(biz.select("entity_id"), 500)
+
+
 @query("biz")
 def io10_fingerprint(biz):
     return tables.frame_fingerprint(biz)
@@ -729,7 +775,6 @@ def io10_fingerprint(biz):
 
 # Samples and splits.
 
-HASH = "(('0x' || substr(md5({} || '#{}'), 1, 12))::BIGINT % 1000000) / 1e6"
 
 
 @query("biz", sql=f"SELECT entity_id, {HASH.format('entity_id', '42')} AS fraction FROM {{biz}}")
@@ -800,9 +845,9 @@ def cohens_d(cov):
 _BOTH = ", ".join(f"{'round(' if c != 'n' else ''}{s[0]}.{c}{', 6)' if c != 'n' else ''} AS {c}_{s}" for s in ("train", "xtest") for c in ("n", *_SUMMED)).replace("_xtest", "_test")
 
 
-@query("cov", sql=f"WITH {LONG}, {SUMMARY}, {COHEN}, {KS} SELECT covariate, {_BOTH}, round(ks, 6) AS ks, round(d, 6) AS cohens_d, {BUCKET} AS effect FROM (SELECT * FROM q WHERE split = 'train') t JOIN (SELECT * FROM q WHERE split = 'test') x USING (covariate) JOIN k USING (covariate) JOIN d USING (covariate)")
+@query("cov", sql=f"WITH {LONG}, {SUMMARY}, {COHEN}, {KS} SELECT covariate, {_BOTH}, round(ks, 6) AS ks, round(d, 6) AS cohens_d, {BUCKET} AS effect FROM (SELECT * FROM q WHERE split = 'train') t JOIN (SELECT * FROM q WHERE split = 'test') x USING (covariate) JOIN k USING (covariate) JOIN d USING (covariate)".replace("round(ks, 6) AS ks,", "round(ks, 6) AS ks, round(CASE WHEN ks * sqrt(t.n * x.n / (t.n + x.n)) < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum([(CASE WHEN i % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2 * i * i * ks * ks * t.n * x.n / (t.n + x.n)) FOR i IN range(1, 101)]))) END, 6) AS p_value,"))
 def compare_distributions(cov):
-    return _round(drift.compare_distributions(_long(cov)), *(f"{c}_{s}" for s in ("train", "test") for c in _SUMMED), "ks", "cohens_d")
+    return _round(drift.compare_distributions(_long(cov)), *(f"{c}_{s}" for s in ("train", "test") for c in _SUMMED), "ks", "p_value", "cohens_d")
 
 
 @query("cov", sql="SELECT country, round(count(*) FILTER (split = 'train') / sum(count(*) FILTER (split = 'train')) OVER (), 6) AS train_share, round(count(*) FILTER (split = 'test') / sum(count(*) FILTER (split = 'test')) OVER (), 6) AS test_share FROM {cov} GROUP BY country")

@@ -44,7 +44,7 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | None = None) -
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("sep", "\t").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
+    df.write.mode(mode).option("sep", "\t").option("header", True).option("emptyValue", "").option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def truth_pairs(truth: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -141,19 +141,21 @@ def cached(spark: SparkSession, root: str, name: str, key: str, make: Callable[[
     return spark.read.parquet(path)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """The table, written once and read back: for results that a plan reads several times.
-
-    It goes to the folder that the session's spark.checkpoint.dir names; a local one is set only where none is.
-    """
-    spark = df.sparkSession
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the session's spark.checkpoint.dir names; a local one is set only where none is and the master is local."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="matchloom-"))
         root = spark.sparkContext.getCheckpointDir()
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """The table, written once to the shared folder and read back: for results that a plan reads several times."""
+    spark = df.sparkSession
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
