@@ -22,7 +22,7 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 
 from .common import kept, lean, slices, text_parts
 
-PORTION, LONG, TABLE = 1 << 21, 256, 80 << 20
+PORTION, LONG, TABLE = 1 << 21, 256, 192 << 20
 #: Bytes of a table's entry beside its strings: three strings, a tuple and a place in the table.
 OVERHEAD = 270
 
