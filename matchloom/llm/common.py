@@ -40,6 +40,11 @@ class Scratch:
     def read(self, table: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
+    def settle(self) -> None:
+        """Lets Spark's cleaner delete the shuffle files of finished steps now; it does so once their plans are collected."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, table: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
