@@ -34,17 +34,19 @@ class Scratch:
         self.spark, self.root = spark, f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
     def cut(self, df: DataFrame, table: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{self.root}/{table}")
+        """Writes the table and reads it back. Its shuffle files go once it is written, as nothing reads them again."""
+        conf, clean = self.spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = conf.get(clean, "false")
+        conf.set(clean, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(f"{self.root}/{table}")
+        finally:
+            conf.set(clean, before)
         return self.read(table, df.schema)
 
     def read(self, table: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
-    def settle(self) -> None:
-        """Lets Spark's cleaner delete the shuffle files of finished steps now; it does so once their plans are collected."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def drop(self, table: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
