@@ -9,8 +9,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: A random 64-bit number for each byte.
-_BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: A random 64-bit number for each byte, A-Z having those of a-z.
+_BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64).take(_LOWER)
 _POWERS: list[np.ndarray] = []
 
 
@@ -49,7 +49,7 @@ def hashed_words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     power, back = _powers(n)
     total = np.empty(n + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_BYTE.take(_LOWER.take(body)) * power, out=total[1:])
+    np.cumsum(_BYTE.take(body) * power, out=total[1:])
     hashes = mix((total[last] - total[first]) * back[first] ^ (last - first).astype(np.uint64) * _PRIME)
     return hashes, first, last, np.searchsorted(first, offsets)
 
