@@ -31,11 +31,11 @@ def join_single_letters(tokens: Column) -> Column:
 
 def tokenize(text: Column) -> Column:
     """Words of letters and digits of folded text, single letters joined."""
-    return join_single_letters(words(F.trim(F.regexp_replace(text, r"(?U)[\W_]+", " "))))
+    return join_single_letters(words(F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "))))
 
 
 def strip_junk(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.trim(text), r"^(?U)[^\w(\[]+", ""), r"(?U)[^\w)\].]+$", "")
+    return F.regexp_replace(F.regexp_replace(F.trim(text), r"^[^\p{L}\p{N}_(\[]+", ""), r"[^\p{L}\p{N}_)\].]+$", "")
 
 
 def detect_website(text: Column) -> Column:

@@ -38,7 +38,7 @@ VIEWS = {
         SELECT o_orderkey AS n, concat('S1-', cast(o_custkey AS string)) AS s1_id,
           concat(' S2-', cast(o_orderkey % 50 AS string), ',', CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'S3-7' ELSE concat('S2-', cast(o_orderkey % 50 AS string)) END, ', ', CASE o_orderkey % 9 WHEN 0 THEN 'X-1' WHEN 1 THEN 'S1-3' ELSE 'S3-9' END) AS ids
         FROM {orders}""",
-    "doc": "SELECT doc_id, lower(coalesce(split_part(text, chr(10), 1), '')) AS line, text, lang FROM {documents}",
+    "doc": "SELECT doc_id, lower(coalesce(text, '')) AS line, text, lang FROM {documents}",
     "emb": "SELECT vec_id, label, embedding, CASE WHEN vec_id % 4 = 0 THEN 'q' ELSE 'x' END AS side FROM {embeddings}",
 }
 

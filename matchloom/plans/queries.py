@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as fc
@@ -196,7 +196,10 @@ def vs11_word_tfidf(biz):
     return _round(retrieval.tfidf(docs, retrieval.word_grams), "weight")
 
 
-@query("doc", sql=f"SELECT doc_id, gram, count(*) AS tf FROM (SELECT doc_id, unnest({GRAMS.format('line')}) AS gram FROM {{doc}}) GROUP BY ALL")
+SPACED = "regexp_replace(line, '[\\s\\x0b]+', ' ', 'g')"  # lines and tabs part words too
+
+
+@query("doc", sql=f"SELECT doc_id, gram, count(*) AS tf FROM (SELECT doc_id, unnest({GRAMS.format(SPACED)}) AS gram FROM {{doc}}) GROUP BY ALL")
 def vs1_char_grams(doc):
     return doc.select("doc_id", F.explode(retrieval.char_grams(F.col("line"))).alias("gram")).groupBy("doc_id", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -302,11 +305,6 @@ def bk9_scheme_keys(biz):
 
 # Text functions.
 
-def whole() -> Column:
-    """A document's whole text in lower case, as its line is; null counts as empty."""
-    return F.lower(F.coalesce("text", F.lit("")))
-
-
 def text_query(name: str, source: str, id_col: str, column, sql: str):
     """A query of one expression over a view."""
 
@@ -318,7 +316,7 @@ def text_query(name: str, source: str, id_col: str, column, sql: str):
 
 
 text_query("tx3_collapse_spaces", "doc", "doc_id", lambda: fc.collapse_spaces(F.col("text")), "trim(regexp_replace(text, '[\\s\\x0b]+', ' ', 'g'))")
-text_query("tx7_strip_junk", "doc", "doc_id", lambda: fc.strip_junk(F.concat(F.lit("#-- "), F.substring("line", 1, 40), F.lit(" >>"))), "regexp_replace(regexp_replace(trim('#-- ' || substring(line, 1, 40) || ' >>'), '^[^\\p{L}\\p{N}_(\\[]+', ''), '[^\\p{L}\\p{N}_)\\].]+$', '')")
+text_query("tx7_strip_junk", "doc", "doc_id", lambda: fc.strip_junk(F.concat(F.lit("#-- "), F.col("line"), F.lit(" >>"))), "regexp_replace(regexp_replace(trim('#-- ' || line || ' >>'), '^[^\\p{L}\\p{N}_(\\[]+', ''), '[^\\p{L}\\p{N}_)\\].]+$', '')")
 text_query("tx8_detect_website", "pages", "page_id", lambda: fc.detect_website(F.regexp_replace("url", "(//[^/]+)/.*$", "$1")), "regexp_replace(string_split(regexp_extract(trim(regexp_replace(url, '(//[^/]+)/.*$', '\\1')), '" + lex.WEBSITE + "', 1), '.')[-1], '[^a-z0-9]', '', 'g')")
 text_query("tx10_digit_typos", "biz", "entity_id", lambda: fc.repair_digit_typos(F.translate("name_core", "ol", "01")), "regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(name_core, 'ol', '01'), '([a-z])0([a-z])', '\\1o\\2', 'g'), '([a-z])0([a-z])', '\\1o\\2', 'g'), '([a-z])1([a-z])', '\\1l\\2', 'g'), '([a-z])1([a-z])', '\\1l\\2', 'g')")
 text_query("tx12_acronym", "biz", "entity_id", lambda: fc.acronym(F.col("name_norm")), f"CASE WHEN len(list_filter({words_sql('name_norm')}, lambda w: w NOT IN ('and', 'of', 'de', 'et'))) >= 2 THEN array_to_string(list_transform(list_filter({words_sql('name_norm')}, lambda w: w NOT IN ('and', 'of', 'de', 'et')), lambda w: w[1]), '') ELSE '' END")
@@ -354,52 +352,29 @@ def tx18_region_code(biz):
     return biz.select("entity_id", component.alias("component")).withColumn("code", fc.region_code(F.col("component"), _ALIASES))
 
 
-@query("doc", sql="SELECT doc_id, strip_accents(line) AS out FROM {doc} WHERE NOT regexp_matches(line, '[ßæœøłđıÆŒØŁĐ’‘`´–—“”]')")
+@query("doc")
 def tx2_fold(doc):
-    return doc.where(~F.col("line").rlike("[ßæœøłđıÆŒØŁĐ’‘`´–—“”]")).select("doc_id", nz.text_function(nz.fold)("line").alias("out"))
+    return doc.select("doc_id", nz.text_function(nz.fold)("line").alias("out"))
 
 
-@query("doc", sql=f"SELECT doc_id, array_to_string({words_sql('regexp_replace(line, $$[^\\p{L}\\p{N}]+$$, $$ $$, $$g$$)')}, ' ') AS out FROM {{doc}} WHERE NOT regexp_matches(line, '(^|[^\\p{{L}}\\p{{N}}])\\p{{L}}[^\\p{{L}}\\p{{N}}]+\\p{{L}}([^\\p{{L}}\\p{{N}}]|$)') AND NOT regexp_matches(line, '\\p{{M}}')")
+@query("doc")
 def tx5_tokenize(doc):
-    alone = r"(?U)(^|[^\p{L}\p{N}])\p{L}[^\p{L}\p{N}]+\p{L}([^\p{L}\p{N}]|$)"
-    return doc.where(~F.col("line").rlike(alone) & ~F.col("line").rlike(r"\p{M}")).select("doc_id", F.array_join(fc.tokenize(F.col("line")), " ").alias("out"))
+    return doc.select("doc_id", F.array_join(fc.tokenize(F.col("line")), " ").alias("out"))
 
 
 @query("doc")
 def tx4_join_single_letters(doc):
-    return doc.select("doc_id", F.array_join(fc.join_single_letters(fc.words(fc.collapse_spaces(whole()))), " ").alias("out"))
+    return doc.select("doc_id", F.array_join(fc.join_single_letters(fc.words(fc.collapse_spaces(F.col("line")))), " ").alias("out"))
 
 
 @query("doc")
 def tx6_normalize_text(doc):
-    return doc.select("doc_id", nz.text_function(nz.normalize_text)(whole()).alias("out"))
+    return doc.select("doc_id", nz.text_function(nz.normalize_text)(F.col("line")).alias("out"))
 
 
 @query("doc")
 def tx1_transliterate(doc):
-    return doc.select("doc_id", nz.text_function(nz.transliterate)(whole()).alias("out"))
-
-
-# The queries above that have SQL are held to it on first lines; these are the same functions over whole texts, which no SQL follows.
-
-@query("doc")
-def tx2_fold_text(doc):
-    return doc.select("doc_id", nz.text_function(nz.fold)(whole()).alias("out"))
-
-
-@query("doc")
-def tx5_tokenize_text(doc):
-    return doc.select("doc_id", nz.text_function(lambda text: " ".join(nz.tokenize(text)))(whole()).alias("out"))
-
-
-@query("doc")
-def tx7_strip_junk_text(doc):
-    return doc.select("doc_id", nz.text_function(nz.strip_junk)(F.concat(F.lit("#-- "), whole(), F.lit(" >>"))).alias("out"))
-
-
-@query("doc")
-def vs1_char_grams_text(doc):
-    return doc.select("doc_id", F.explode(retrieval.char_grams(whole())).alias("gram")).groupBy("doc_id", "gram").agg(F.count(F.lit(1)).alias("tf"))
+    return doc.select("doc_id", nz.text_function(nz.transliterate)(F.col("line")).alias("out"))
 
 
 @query("biz")
@@ -703,17 +678,11 @@ def io8_submission_findings(scored, universe, biz):
     return found.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("idtext", "universe", "biz", sql=f"""WITH one AS (SELECT s1_id, ids FROM {{idtext}} WHERE n % 3 <> 0), l AS (SELECT s1_id, unnest({_PARSED}) AS value FROM one), f AS (SELECT 'duplicate_s1' AS category, s1_id AS example FROM one GROUP BY s1_id HAVING count(*) > 1
+@query("idtext", "universe", "biz", sql=f"""WITH one AS (SELECT s1_id, ids FROM {{idtext}}), l AS (SELECT s1_id, unnest({_PARSED}) AS value FROM one), f AS (SELECT 'duplicate_s1' AS category, s1_id AS example FROM one GROUP BY s1_id HAVING count(*) > 1
 UNION ALL SELECT 'duplicate_in_list', value FROM l GROUP BY s1_id, value HAVING count(*) > 1 UNION ALL SELECT 's1_in_list', value FROM l WHERE value LIKE 'S1-%' UNION ALL SELECT 'wrong_prefix', value FROM l WHERE NOT regexp_matches(value, '^S[123]-')
 UNION ALL SELECT 'missing_s1', s1_id FROM {{universe}} WHERE s1_id NOT IN (SELECT s1_id FROM one) UNION ALL SELECT 'extra_s1', s1_id FROM one WHERE s1_id NOT IN (SELECT s1_id FROM {{universe}}) UNION ALL SELECT 'unknown_id', value FROM l WHERE value NOT IN (SELECT entity_id FROM {{biz}}))
 SELECT category, count(*) AS offenders, array_to_string(list_sort(list_distinct(list(example)))[1:5], ';') AS examples FROM f GROUP BY category""")
 def io20_validate_lists(idtext, universe, biz):
-    found = tables.validate_lists(idtext.where("n % 3 <> 0").select("s1_id", "ids"), universe.select("s1_id"), _valid(biz))
-    return found.withColumn("examples", F.array_join("examples", ";"))
-
-
-@query("idtext", "universe", "biz")
-def io20_validate_lists_all(idtext, universe, biz):
     found = tables.validate_lists(idtext.select("s1_id", "ids"), universe.select("s1_id"), _valid(biz))
     return found.withColumn("examples", F.array_join("examples", ";"))
 
