@@ -43,10 +43,10 @@ def score_report(pred: DataFrame, truth: DataFrame, universe: DataFrame) -> Data
 
 
 def blocking_recall(cands: DataFrame, truth: DataFrame) -> DataFrame:
-    """One row: pair_recall, s1_full_recall (both 1 without true pairs), mean_candidates over queries that have any."""
+    """One row: pair_recall, s1_full_recall (both 1 without true pairs), mean_candidates over queries that have any (null if none has)."""
     found = truth.select("s1_id", "cand_id").distinct().join(cands.select("s1_id", "cand_id").distinct().withColumn("hit", F.lit(1)), ["s1_id", "cand_id"], "left")
     by = found.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("h")).agg(F.coalesce(F.sum("h") / F.sum("n"), F.lit(1.0)).alias("pair_recall"), F.coalesce(F.avg((F.col("h") == F.col("n")).cast("double")), F.lit(1.0)).alias("s1_full_recall"))
-    sizes = cands.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.avg("n"), F.lit(0.0)).alias("mean_candidates"))
+    sizes = cands.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n")).agg(F.avg("n").alias("mean_candidates"))
     return by.crossJoin(sizes)
 
 
