@@ -181,7 +181,7 @@ def name_retrieval_ranks(s1: DataFrame, others: DataFrame, truth: DataFrame, lim
     text = lambda df: df.select("grp", "id", F.col("name_core").alias("text"))
     parts = {}
     for name, grams in (("char_grams", retrieval.char_grams), ("words", retrieval.word_grams)):
-        ranks = retrieval.true_ranks(retrieval.tfidf_pass(text(q), text(x), grams=grams, truncate=False), truth)
+        ranks = retrieval.sparse_ranks(text(q), text(x), truth, grams=grams)
         parts[name] = ranks.agg(F.count(F.lit(1)).alias("pairs"), *(F.avg(F.coalesce((F.col("rank") <= n).cast("double"), F.lit(0.0))).alias(f"within_{n}") for n in limits), F.avg(F.col("rank").isNull().cast("double")).alias("unreachable"))
     return stack(parts, "variant")
 
