@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .conftest import DOCS, ODD, prose
 
+crowded = chains._crowded
+
 
 def _brute_fingerprint(text):
     words = (text or "").encode().lower().split()
@@ -231,6 +233,51 @@ def test_cutting_goes_by_what_stays(spark):
     assert sum(" ".join(first) in (t or "") for i, t in rows if i == 1) in (1, 2)
 
 
+def test_passages_with_crowded_seeds_only(spark):
+    """Two late texts share a passage whose only equal 5-mers are those of a line that many unlike texts have."""
+    line, body = prose(70, 14), prose(71, 45)
+    edited = [w if i % 5 != 2 else f"other{i}" for i, w in enumerate(body)]
+    rows = [(i, " ".join([*prose(100 + i, 60), *line, *prose(200 + i, 60)])) for i in range(30)]
+    rows += [(50, " ".join([*prose(72, 30), *line, *body, *prose(73, 30)])), (51, " ".join([*prose(74, 30), *line, *edited, *prose(75, 30)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.other_id): r for r in chains.shared_passages(docs).collect()}
+    assert set(got) == {(50, 51), (51, 50)} and got[51, 50].class_id == 50 and got[51, 50].class_docs == 2
+    assert chains.without_repeats(docs).where("doc_id = 51").first().text.split() != rows[-1][1].split()
+
+
+def test_near_copies_stay_in_one_class(spark, monkeypatch):
+    """Links of many near copies go to the first ones, and all of them are in the class that links between all pairs make."""
+    rnd, base = random.Random(6), prose(76, 120)
+    rows = [(i, " ".join(w if rnd.random() > 0.07 else prose(1000 * i + j, 1)[0] for j, w in enumerate(base))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes, links = [], []
+    for every in (True, False):
+        monkeypatch.setattr(chains, "_crowded", lambda least, _, make=crowded, every=every: make(least, every))
+        got = chains.shared_passages(docs).collect()
+        sizes.append({(r.doc_id, r.class_id, r.class_docs) for r in got})
+        links.append(len({(r.doc_id, r.other_id) for r in got}))
+    assert {(c, n) for _, c, n in sizes[1]} == {(0, 60)} == {(c, n) for _, c, n in sizes[0]} and len({d for d, _, _ in sizes[1]}) == 60
+    assert links[1] < links[0] / 2
+
+
+def test_crowded_seeds_keep_what_alignment_finds():
+    """Around a seed no pair is left out whose words, with gaps, have a passage of 50 to 99 columns that holds the seed."""
+    rnd, needs = random.Random(5), chains.least_equal()
+    for _ in range(300):
+        n, at = rnd.randint(50, 99), rnd.randint(0, 45)
+        columns = ["="] * n
+        for i in rnd.sample([i for i in range(n) if not at <= i < at + chains.K], min(n - chains.K, n // 5)):
+            columns[i] = rnd.choice("x-+")
+        sides = []
+        for part in (columns[:at][::-1], columns[at + chains.K :]):
+            words = [rnd.randint(1, 40) for _ in part]
+            x = [w for w, c in zip(words, part) if c != "+"]
+            y = [w if c == "=" else 50 + w for w, c in zip(words, part) if c != "-"]
+            sides.append([np.array((t + [0] * chains.NEAR)[: chains.NEAR], np.uint16) for t in (x, y)])
+        x, y = (np.concatenate([s[k] for s in sides])[None] for k in (0, 1))
+        assert chains.may_share(x, y, needs)[0, 0]
+
+
 def test_passages_with_one_seed_in_common(spark):
     rows = []
     for g in range(0, 80, 2):  # words 24 to 35 are equal, of the others every sixth isn't
