@@ -74,7 +74,12 @@ def blocking_stats(cands: DataFrame, truth: DataFrame, universe: DataFrame, n_ot
 
 def candidate_stats(cands: DataFrame, universe: DataFrame) -> DataFrame:
     """One row over every query: n_s1, n_pairs, mean_candidates, max_candidates, zero_candidate_s1."""
-    sizes = universe.select("s1_id").distinct().join(cands.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n")), "s1_id", "left").na.fill(0, ["n"])
+    return size_stats(cands.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n")), universe)
+
+
+def size_stats(counts: DataFrame, universe: DataFrame) -> DataFrame:
+    """candidate_stats from (s1_id, n), how many candidates a query has."""
+    sizes = universe.select("s1_id").distinct().join(counts, "s1_id", "left").na.fill(0, ["n"])
     return sizes.agg(F.count(F.lit(1)).alias("n_s1"), F.sum("n").alias("n_pairs"), F.avg("n").alias("mean_candidates"), F.max("n").alias("max_candidates"), F.count_if(F.col("n") == 0).alias("zero_candidate_s1"))
 
 

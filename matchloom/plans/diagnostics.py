@@ -148,9 +148,14 @@ def address_forensics(misses: DataFrame, s1: DataFrame, others: DataFrame, confi
 
 
 def key_counterfactual(s1: DataFrame, others: DataFrame, truth: DataFrame, schemes: tuple[str, ...] = keys.CF_SCHEMES, k: int = 10, cap: int = 100) -> DataFrame:
-    """Recall and cost of each key scheme, at production limits and with open ones."""
+    """Recall and cost of each key scheme, at production limits and with open ones: what candidate_quality gives for scheme_pass."""
     q, x = blocking.grouped(s1, True), blocking.grouped(others, True)
-    found = {f"{s}/{n}": candidate_quality(blocking.scheme_pass(s, q, x, *limits), truth, s1) for s in schemes for n, limits in (("production", (k, cap)), ("open", (OPEN_CAP, OPEN_CAP)))}
+    found = {}
+    for s in schemes:
+        lists = [tables.cut(df, "scheme_keys") for df in blocking.scheme_lists(s, q, x)]
+        for n, limits in (("production", (k, cap)), ("open", (OPEN_CAP, OPEN_CAP))):
+            counts, hits = retrieval.key_pass_counts(*lists, truth, *limits)
+            found[f"{s}/{n}"] = evaluate.blocking_recall(hits, truth).drop("mean_candidates").crossJoin(evaluate.size_stats(counts, universe_of(s1)))
     return stack(found, "scheme")
 
 
