@@ -260,6 +260,60 @@ def test_near_copies_stay_in_one_class(spark, monkeypatch):
     assert links[1] < links[0] / 2
 
 
+def test_near_copies_are_cut_by_few_links(spark):
+    """Of near copies the pipeline's way of finding passages makes links with the first ones, not between all; all but one copy go."""
+    rnd, base = random.Random(7), prose(77, 120)
+    rows = [(i, " ".join(w if rnd.random() > 0.05 else prose(2000 * i + j, 1)[0] for j, w in enumerate(base))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    links = chains.find_passages(docs, chains.Scratch(spark, "few"), "text", "doc_id", chains.LEAST, runs=True)
+    assert len({(r.doc, r.other) for r in links.collect()}) < 60 * 59 / 4
+    left = {r.doc_id: len(r.text.split()) for r in chains.without_repeats(docs).collect()}
+    assert left[0] == 120 and max(n for i, n in left.items() if i) < 40
+
+
+def test_copies_of_what_went_are_cut(spark):
+    """The second text goes for its likeness to the first. Many texts are like the second only, and one another: one of them stays."""
+    first = prose(78, 160)
+    second = [f"two{k}" if k % 8 == 3 else w for k, w in enumerate(first)]
+    rows = [(0, first), (1, second)]
+    for i in range(2, 22):
+        rows.append((i, [f"own{i}x{k}" if k % 24 == i % 7 + 8 else f"third{k}" if k % 8 == 7 else w for k, w in enumerate(second)]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    left = {r.doc_id: len(r.text.split()) for r in chains.without_repeats(docs).collect()}
+    assert left[0] == left[2] == 160 and max(n for i, n in left.items() if i not in (0, 2)) < 50
+
+
+def test_gaps_around_a_seed():
+    """The balance of words on one side of a seed against alignments tried one by one."""
+    rnd = random.Random(9)
+    for _ in range(60):
+        x = [rnd.randint(2, 9) for _ in range(chains.NEAR)]
+        y = [w for w in x if rnd.random() > 0.06][: rnd.randint(20, 64)]
+        y = [rnd.randint(2, 9) if rnd.random() < 0.08 else w for w in y]
+        want = [0] + [None] * chains.NEAR
+        top = {(0, 0, chains.K, True): 0}  # by words taken, equal ones at the end, whether the diagonal has had a run
+        for i in range(chains.NEAR + 1):
+            for j in range(len(y) + 1):
+                for end in range(chains.K + 1):
+                    for seeded in (False, True):
+                        if (value := top.get((i, j, end, seeded))) is None or abs(j - i) > chains.BAND:
+                            continue
+                        moves = [(i + 1, j, 0, False, -chains.PENALTY), (i, j + 1, 0, False, -chains.PENALTY)]
+                        if i < chains.NEAR and j < len(y):
+                            n = min(end + 1, chains.K) if x[i] == y[j] else 0
+                            moves.append((i + 1, j + 1, n, seeded or (n == chains.K and end < chains.K), 1 if x[i] == y[j] else -chains.PENALTY))
+                        for a, b, n, held, gain in moves:
+                            if a <= chains.NEAR and b <= len(y) and abs(b - a) <= chains.BAND:
+                                top[a, b, n, held] = max(top.get((a, b, n, held), -9999), value + gain)
+        for (i, j, end, seeded), value in top.items():
+            if i and seeded and end >= 2:
+                want[i] = max(want[i] if want[i] is not None else -9999, value)
+        words = [np.array([[*t, *[0] * (chains.NEAR - len(t))]], np.uint16) for t in (x, y)]
+        got = chains.balances(*words, chains.K)[:, 0]
+        for i in range(chains.NEAR):
+            assert want[i] is None and got[i] < -5000 or want[i] == got[i] or abs(want[i]) > 200
+
+
 def test_crowded_seeds_keep_what_alignment_finds():
     """Around a seed no pair is left out whose words, with gaps, have a passage of 50 to 99 columns that holds the seed."""
     rnd, needs = random.Random(5), chains.least_equal()
