@@ -25,6 +25,8 @@ from .common import kept, lean, slices, text_parts
 PORTION, LONG, TABLE = 1 << 21, 256, 192 << 20
 #: Bytes of a table's entry beside its strings: three strings, a tuple and a place in the table.
 OVERHEAD = 270
+#: Code points that are looked up at once.
+STEP = 1 << 12
 
 
 def byte_symbols() -> list[str]:
@@ -35,10 +37,15 @@ def byte_symbols() -> list[str]:
 
 
 def newer(kind: str) -> str:
-    """The code points of a Unicode class (as \\p{L}) by the tables of `regex` that are not in it by the library's, which are older; as a regex set, or nothing."""
-    points = "".join(chr(c) for c in (*range(0xD800), *range(0xE000, 0x110000)))
-    known = {c for run, _ in pre_tokenizers.Split(Regex(kind + "+"), "removed", invert=True).pre_tokenize_str(points) for c in run}
-    found = [c for c in regex.findall(kind, points) if c not in known]
+    """The code points of a Unicode class (as \\p{L}) by the tables of `regex` that are not in it by the library's, which are older; as a regex set, or nothing.
+
+    Asked for STEP code points at a time: the library takes hundreds of MB to split all of them at once.
+    """
+    split, found = pre_tokenizers.Split(Regex(kind + "+"), "removed", invert=True), []
+    for first in range(0, 0x110000, STEP):
+        points = "".join(chr(c) for c in range(first, first + STEP) if not 0xD800 <= c < 0xE000)
+        known = {c for run, _ in split.pre_tokenize_str(points) for c in run}
+        found += [c for c in regex.findall(kind, points) if c not in known]
     starts = [c for c, before in zip(found, [None, *found]) if before is None or ord(c) != ord(before) + 1]
     ends = [c for c, after in zip(found, [*found[1:], None]) if after is None or ord(after) != ord(c) + 1]
     return "[" + "".join(f"{a}-{b}" for a, b in zip(starts, ends)) + "]" if found else ""

@@ -199,7 +199,7 @@ def keep_known(df: DataFrame, net: Network | None, least: float, text_col: str =
     names = df.columns
     own = df.select(*(df[f"`{c}`"].alias(f"c{k}") for k, c in enumerate(names)))
     text = f"c{names.index(text_col)}"
-    scored = own.withColumn("told", F.arrow_udf(predicted, "lang string, score double")(F.col(text), _lettered(text)))
+    scored = own.withColumn("told", F.arrow_udf(predicted, "lang string, score double").asNondeterministic()(F.col(text), _lettered(text)))
     kept = scored.where((F.col("told.lang") != UNKNOWN) & (F.col("told.score") >= least))
     return kept.select(*((F.col("told.lang") if c == lang_col else F.col(f"c{k}")).alias(c) for k, c in enumerate(names)))
 

@@ -3,7 +3,10 @@
 import base64
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -206,3 +209,9 @@ def test_expansion_tables():
         index = max(0, min(88, index + follow[code & 7]))
         want.append(value)
     assert audio.decode_adpcm(block[None]).tolist() == [want]
+
+
+def test_bpe_tables_take_little_memory_to_make():
+    code = "import resource; from matchloom.llm import bpe, queries; before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; bpe.WordBpe(queries.vocabulary()); print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True).stdout
+    assert int(out) < 120 << 10  # KB; 300 MB when all code points were split at once
