@@ -54,10 +54,8 @@ class Linkage:
 
     def features(self, cands: DataFrame, s1: DataFrame, others: DataFrame, key: str) -> DataFrame:
         def make() -> DataFrame:
-            vectors = None
-            if self.config.blocking.use_embeddings:
-                vectors = tuple(retrieval.embed(df.select(F.col("entity_id").alias("id"), embedding_text(F.col("business_name"), F.col("business_address")).alias("text")), self.encoder) for df in (s1, others))
-            return features.build_features(cands, s1, others, vectors)
+            text = embedding_text(F.col("business_name"), F.col("business_address")) if self.config.blocking.use_embeddings else None
+            return features.build_features(cands, s1, others, text, self.encoder)
 
         return self._kept("features", key, make)
 
